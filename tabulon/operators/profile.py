@@ -171,7 +171,7 @@ def extremes(df: DataFrame, col: str, k: int = 10) -> DataFrame:
     return low.unionByName(high)
 
 
-def bin_edges(df: DataFrame, cols, bins="auto") -> dict[str, tuple[float, float, int]]:
+def bin_edges(df: DataFrame, cols, bins="auto", quartiles: DataFrame | None = None) -> dict[str, tuple[float, float, int]]:
     """(low, high, bin count) per column: one small row on the driver per column.
 
     "auto" takes the larger of Sturges' and Freedman-Diaconis' counts.
@@ -183,7 +183,7 @@ def bin_edges(df: DataFrame, cols, bins="auto") -> dict[str, tuple[float, float,
     iqr = {}
     if bins == "auto":
         iqr = {r["column"]: (r["q1"] or 0.0) - (r["q0"] or 0.0)
-               for r in exact_quantiles(df, cols, [0.25, 0.75]).collect()}
+               for r in (quartiles or exact_quantiles(df, cols, [0.25, 0.75])).collect()}
     edges = {}
     for c in cols:
         n, lo, hi = stats[c]["n"], stats[c]["lo"], stats[c]["hi"]
@@ -209,11 +209,11 @@ def bin_index(col, lo: float, hi: float, count: int):
     return F.least(F.floor((col - F.lit(lo)) / F.lit(width)), F.lit(count - 1)).cast("long")
 
 
-def histogram(df: DataFrame, cols, bins="auto", by=None) -> DataFrame:
+def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame | None = None) -> DataFrame:
     """(by, column, bin, left, right, n) with shared edges for all groups; empty bins have n = 0
     when there is no ``by``."""
     cols = list(cols)
-    edges = bin_edges(df, cols, bins)
+    edges = bin_edges(df, cols, bins, quartiles)
     have = [c for c in cols if c in edges]
     spark = df.sparkSession
     by_cols = [by] if by else []

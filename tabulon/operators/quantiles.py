@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.columns import number
 from tabulon.plans.ordered import running
-from tabulon.plans.shared import broadcast_if_small, materialise
+from tabulon.plans.shared import settle
 
 ACCURACY = 10_000
 
@@ -50,21 +50,29 @@ def _brackets(df, cols, probs, by, accuracy):
 def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY) -> DataFrame:
     """(by..., column, n, q0, q1, ...): linearly interpolated quantiles of the non-missing values."""
     cols, by, probs = list(cols), list(by), sorted(probs)
-    brackets = materialise(_brackets(df, cols, probs, by, accuracy))
-    result = materialise(_select(df, cols, probs, by, brackets, fold=True))
-    missed = F.lit(False)
-    for j in range(len(probs)):
-        missed = missed | F.col(f"q{j}").isNull()
-    if not result.filter(missed & (F.col("n") > 0)).isEmpty():
-        result = materialise(_select(df, cols, probs, by, brackets, fold=False))
+    brackets, rows = settle(_brackets(df, cols, probs, by, accuracy), bounded=not by)
+    if rows is None:
+        longest = brackets.agg(F.max("n")).first()[0] or 0
+        brackets_side = brackets
+    else:
+        longest = max((r["n"] for r in rows), default=0)
+        brackets_side = F.broadcast(brackets)  # settled: at most 10,000 rows
+    for fold in (True, False):
+        result, found = settle(_select(df, cols, probs, by, brackets_side, longest, fold), bounded=rows is not None)
+        if found is not None:
+            if all(r["n"] == 0 or None not in r[-len(probs):] for r in found):
+                break
+        else:
+            missed = F.array_contains(F.transform(F.array(*[f"q{j}" for j in range(len(probs))]), F.isnull), True)
+            if result.filter(missed & (F.col("n") > 0)).isEmpty():
+                break
     return result
 
 
-def _select(df, cols, probs, by, brackets, fold):
+def _select(df, cols, probs, by, brackets, longest, fold):
     k = len(probs)
     keyed = brackets.select(*[F.col(b).alias(f"_b_{b}") for b in by], F.col("column").alias("_b_column"),
                             F.col("n").alias("_n"), *[c for j in range(k) for c in (f"lo{j}", f"hi{j}")])
-    keyed = broadcast_if_small(keyed)
 
     def on(frame):
         cond = F.col("column") == F.col("_b_column")
@@ -87,7 +95,6 @@ def _select(df, cols, probs, by, brackets, fold):
     marked = on(long_form(df, cols, by)).select(*by, "column", place.alias("p"))
     counts = marked.groupBy(*by, "column", F.col("p.v").alias("v"), F.col("p.at").alias("at")).agg(
         F.count(F.lit(1)).alias("m"))
-    longest = brackets.agg(F.max("n")).first()[0] or 0
     ranked = running(counts, ["v", "at"], by=[*by, "column"], sums={"upto": "m"}, longest=longest)
     with_n = on(ranked)
     aggs = []

@@ -52,9 +52,15 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def same(left: DataFrame, right: DataFrame, names) -> "F.Column":
-    """Null-safe equality on the named columns of two frames."""
-    cond = F.lit(True)
-    for name in names:
-        cond = cond & left[name].eqNullSafe(right[name])
-    return cond
+def settle(df: DataFrame, bounded: bool, rows: int = 10_000) -> tuple[DataFrame, list | None]:
+    """Compute a small frame once.
+
+    ``bounded`` frames (one row per column, say) come back as a local frame and its rows; others
+    are checkpointed, and turned local only after a count shows at most ``rows`` rows.
+    """
+    if not bounded:
+        df = materialise(df)
+        if df.limit(rows + 1).count() > rows:
+            return df, None
+    found = df.collect()
+    return df.sparkSession.createDataFrame(found, df.schema), found

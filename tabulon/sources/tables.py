@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tabulon.sources.files import SmallFiles
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Delimited file with a header row; types are inferred only if no schema is given."""
@@ -40,31 +42,16 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _commit_file(self, version: int):
-        return self._Path(f"{self.path}/_commits/{version:08d}.json")
+        self._files = SmallFiles(spark)
 
     def version(self) -> int:
         """The current version; 0 before the first write."""
-        folder = self._Path(f"{self.path}/_commits")
-        if not self._fs.exists(folder):
-            return 0
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        names = self._files.names(f"{self.path}/_commits")
         return max((int(n[:8]) for n in names if n.endswith(".json") and n[:8].isdigit()), default=0)
 
     def info(self, version: int | None = None) -> dict:
         version = version or self.version()
-        if version == 0:
-            return {}
-        stream = self._fs.open(self._commit_file(version))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        return json.loads(self._files.read(f"{self.path}/_commits/{version:08d}.json")) if version else {}
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{self.info(version)['folder']}")
@@ -74,12 +61,7 @@ class VersionedTable:
         base = self.version() if expected is None else expected
         folder = f"data/{base + 1:08d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
-        body = json.dumps({**info, "folder": folder})
-        out = self._fs.create(self._commit_file(base + 1), False)
-        try:
-            out.write(bytearray(body.encode("utf-8")))
-        finally:
-            out.close()
+        self._files.write(f"{self.path}/_commits/{base + 1:08d}.json", json.dumps({**info, "folder": folder}))
         return base + 1
 
 
