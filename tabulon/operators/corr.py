@@ -44,9 +44,10 @@ def corr_matrix(df: DataFrame, cols, method: str = "pearson", lower: bool = Fals
 def _pearson(df, cols):
     pairs = list(combinations(cols, 2))
     nums = df.select(*[number(c).alias(c) for c in cols])
-    r = [F.corr(a, b) for a, b in pairs]
+    # not corr(): on a constant column it divides by zero, an error under ANSI
+    r = [F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))) for a, b in pairs]
     wide = nums.agg(
-        F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.when(~F.isnan(e), e).alias("r"))
+        F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), e.alias("r"))
                   for (a, b), e in zip(pairs, r)]).alias("pairs"),
         F.array(*[F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
                            F.when(F.min(c) < F.max(c), F.lit(1.0)).alias("r")) for c in cols]).alias("self"))
@@ -83,26 +84,27 @@ def _named(result: DataFrame, pairs) -> DataFrame:
     return names.join(result, "pair", "left").select("x", "y", "r")
 
 
+def _mid_ranks(counts, side, longest):
+    """Centred mid-ranks of the values of one side, from value counts (pair, side, t, n)."""
+    upto = running(counts, [side], by=["pair"], sums={"u": "t"}, longest=longest)
+    return upto.withColumn("rank", F.col("u") - (F.col("t") - 1) / 2.0 - (F.col("n") + 1) / 2.0)
+
+
 def _spearman(df, cols, bins):
+    """Pearson on mid-ranks.  The x-ranks are joined to the cells; then the cells are added up per
+    y, where the y-ranks come from a running count, so one join over the cells is enough."""
     cells, pairs = _cells(df, cols, bins)
     longest = _longest(cells)
-    ranked = cells
-    for side in ("x", "y"):
-        counts = cells.groupBy("pair", side).agg(F.sum("m").alias("t"))
-        upto = running(counts, [side], by=["pair"], sums={"u": "t"}, longest=longest)
-        mid = upto.select("pair", side, (F.col("u") - (F.col("t") - 1) / 2.0).alias(f"rank_{side}"))
-        ranked = keyed_left_join(ranked, mid, ["pair", side])
-    # Pearson on weighted mid-ranks; centring on the known mean rank (n + 1) / 2 keeps the sums small.
-    sizes = ranked.groupBy("pair").agg(F.sum("m").alias("n"))
-    centred = ranked.join(F.broadcast(sizes), "pair").select(  # one row per column pair
-        "pair", "m", (F.col("rank_x") - (F.col("n") + 1) / 2.0).alias("a"),
-        (F.col("rank_y") - (F.col("n") + 1) / 2.0).alias("b"))
-    sums = centred.groupBy("pair").agg(
-        F.sum(F.col("m") * F.col("a") * F.col("b")).alias("ab"),
-        F.sum(F.col("m") * F.col("a") * F.col("a")).alias("aa"),
-        F.sum(F.col("m") * F.col("b") * F.col("b")).alias("bb"))
+    sizes = F.broadcast(cells.groupBy("pair").agg(F.sum("m").alias("n")))  # one row per column pair
+    by_x = _mid_ranks(cells.groupBy("pair", "x").agg(F.sum("m").alias("t")).join(sizes, "pair"), "x", longest)
+    ranked = keyed_left_join(cells, by_x.select("pair", "x", F.col("rank").alias("a")), ["pair", "x"])
+    per_y = ranked.groupBy("pair", "y").agg(F.sum("m").alias("t"), F.sum(F.col("m") * F.col("a")).alias("ma"))
+    by_y = _mid_ranks(per_y.join(sizes, "pair"), "y", longest)
+    xx = by_x.groupBy("pair").agg(F.sum(F.col("t") * F.col("rank") * F.col("rank")).alias("aa"))
+    xy = by_y.groupBy("pair").agg(F.sum(F.col("ma") * F.col("rank")).alias("ab"),
+                                  F.sum(F.col("t") * F.col("rank") * F.col("rank")).alias("bb"))
     r = F.try_divide(F.col("ab"), F.sqrt(F.col("aa")) * F.sqrt(F.col("bb")))
-    return _named(sums.select("pair", r.alias("r")), pairs)
+    return _named(xx.join(xy, "pair").select("pair", r.alias("r")), pairs)
 
 
 def _pairs_of(n):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulon.plans.ordered import running
 from tabulon.plans.skew import keyed_left_join
-from tabulon.sources.feature_table import FeatureTable, duplicate_keys
+from tabulon.sources.feature_table import FeatureTable, key_check
 
 
 @dataclass(frozen=True)
@@ -39,27 +39,36 @@ def assemble(base: DataFrame, others, on, cols) -> DataFrame:
     return base.select(*cols)
 
 
-def lookup_frame(df: DataFrame, features: DataFrame, keys, names, check: bool = True) -> DataFrame:
+def lookup_frame(df: DataFrame, features: DataFrame, keys, names, rows: int | None = None,
+                 sample_from: DataFrame | None = None) -> DataFrame:
     """Left join of the named features; every row of ``df`` stays, once.
 
-    ``keys`` maps key columns of ``features`` to columns of ``df``.
+    ``keys`` maps key columns of ``features`` to columns of ``df``.  ``rows`` is the row count of
+    ``features`` when they are known to be unique by key; otherwise both are checked here.
     """
     keys = dict(keys) if isinstance(keys, dict) else {k: k for k in keys}
     clash = sorted(set(names) & set(df.columns))
     if clash:
         raise ValueError(f"columns already present: {clash}")
-    if check and not duplicate_keys(features, list(keys)).isEmpty():
-        raise ValueError(f"feature rows are not unique by {list(keys)}")
+    if rows is None:
+        rows, unique = key_check(features.dropna(subset=list(keys)), list(keys))
+        if not unique:
+            raise ValueError(f"feature rows are not unique by {list(keys)}")
     right = features.select(*[F.col(k).alias(v) for k, v in keys.items()], *names)
-    return keyed_left_join(df, right, list(keys.values())).select(*df.columns, *names)
+    joined = keyed_left_join(df, right, list(keys.values()), sample_from=sample_from, right_rows=rows)
+    return joined.select(*df.columns, *names)
 
 
 def lookup(df: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Several feature tables, each by its own key, applied one after the other."""
+    start = df
     for one in lookups:
         table = FeatureTable(df.sparkSession, one.table)
-        unique = set(table.keys) <= set(one.key_map())
-        df = lookup_frame(df, table.read(), one.key_map(), one.features, check=not unique)
+        by = one.key_map()
+        known_unique = set(table.keys) <= set(by)
+        # hot keys are looked for before any join, where the key is already there
+        early = start if set(by.values()) <= set(start.columns) else None
+        df = lookup_frame(df, table.read(), by, one.features, table.rows if known_unique else None, early)
     return df
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import hash_int, hash_text, number, ratio
-from tabulon.operators.quantiles import exact_quantiles, long_form
+from tabulon.operators.quantiles import exact_quantiles, join_same, long_form
 from tabulon.plans.ordered import ROW, SLICE, sorted_slices
-from tabulon.plans.shared import broadcast_if_small, materialise
+from tabulon.plans.shared import broadcast_if_small, materialise, settle
 
 
 def zero_counts(df: DataFrame, cols) -> DataFrame:
@@ -35,24 +35,12 @@ def _numbers(df, cols, by=()):
 def describe(df: DataFrame, cols, by=()) -> DataFrame:
     """Long form (by..., column, stat, value): count, mean, std, min, 25%, 50%, 75%, max."""
     by = list(by)
-    base = _per_column(_numbers(df, cols, by), cols, by, lambda c: {
-        "count": F.count(c).cast("double"), "mean": F.avg(c), "std": F.stddev_samp(c),
-        "min": F.min(c), "max": F.max(c)})
-    quart = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by)
-    both = _join_same(base, quart.select(*by, "column", "q0", "q1", "q2"), [*by, "column"])
-    return both.withColumnsRenamed({"q0": "25%", "q1": "50%", "q2": "75%"}).unpivot(
+    found = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, also=lambda c: {
+        "count": F.count(c).cast("double"), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)})
+    return found.withColumnsRenamed({"q0": "25%", "q1": "50%", "q2": "75%"}).unpivot(
         [*by, "column"], ["count", "mean", "std", "min", "25%", "50%", "75%", "max"], "stat", "value")
 
 
-def _join_same(left: DataFrame, right: DataFrame, names, how: str = "left") -> DataFrame:
-    """Null-safe join on the named columns; the left names are kept."""
-    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in names else F.col(f"`{c}`") for c in right.columns])
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(f"`{n}`").eqNullSafe(F.col(f"`_r_{n}`"))
-    return left.join(renamed, cond, how).drop(*[f"_r_{n}" for n in names])
-
-
 def quick_summary(df: DataFrame, cols, bins: int = 10) -> DataFrame:
     """One pass: counts, moments, approximate median and distinct count, small histogram."""
     return _per_column(_numbers(df, cols), cols, [], lambda c: {
@@ -87,47 +75,65 @@ def profile_overview(df: DataFrame) -> DataFrame:
         F.lit(n_cols - numeric - text).cast("long").alias("other_columns"))
 
 
-def _moments(c):
-    x, n = F.col(c), F.count(c).cast("double")
-    g1, g2 = F.skewness(c), F.kurtosis(c)
-    spread = F.var_pop(c) > 0
+def _counts(c):
+    x = F.col(c)
     return {
         "rows": F.count(F.lit(1)), "count": F.count(c),
         "missing": F.sum(x.isNull().cast("long")), "zeros": F.coalesce(F.sum((x == 0).cast("long")), F.lit(0)),
         "negatives": F.coalesce(F.sum((x < 0).cast("long")), F.lit(0)),
-        "mean": F.avg(c), "sum": F.sum(c), "min": F.min(c), "max": F.max(c),
-        "range": F.max(c) - F.min(c), "std": F.stddev_samp(c), "variance": F.var_samp(c),
-        "cv": F.try_divide(F.stddev_samp(c), F.avg(c)),
-        # sample-corrected, from the population values
-        "skewness": F.when(spread & (n > 2), g1 * F.sqrt(n * (n - 1)) / (n - 2)),
-        "kurtosis": F.when(spread & (n > 3), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)),
-    }
+        "mean": F.avg(c), "sum": F.sum(c), "min": F.min(c), "max": F.max(c)}
+
+
+def _central(d):
+    """Sums of powers of the distance from the mean: stable, and cheap beside one moment aggregate each."""
+    return {"m2": F.sum(d * d), "m3": F.sum(d * d * d), "m4": F.sum(d * d * d * d)}
 
 
 def profile_columns(df: DataFrame, cols, key: str | None = None, exact: bool = True) -> DataFrame:
-    """One row per column.  ``key`` adds monotone flags in key order; ``exact=False`` uses sketches."""
+    """One row per column.  ``key`` adds monotone flags in key order; ``exact=False`` takes quantiles
+    and distinct counts from sketches, in two scans altogether."""
     cols = list(cols)
-    base = _per_column(_numbers(df, cols), cols, [], _moments)
     probs = [0.05, 0.25, 0.5, 0.75, 0.95]
     if exact:
-        quant = exact_quantiles(df, cols, probs)
+        first = exact_quantiles(df, cols, probs, also=_counts)
+    else:
+        first = _per_column(_numbers(df, cols), cols, [], lambda c: {
+            **_counts(c), "q": F.percentile_approx(c, probs, 10_000), "distinct": F.approx_count_distinct(c)})
+        first = first.select("*", *[F.element_at("q", j + 1).alias(f"q{j}") for j in range(5)]).drop("q")
+    base, rows = settle(first, bounded=True)  # one row per column
+    mean = {r["column"]: r["mean"] for r in rows}
+    median = {r["column"]: r["q2"] for r in rows}
+
+    def off(centre):
+        return df.select(*[(number(c) - F.lit(centre[c]).cast("double")).alias(c) for c in cols])
+
+    if exact:
+        spread = _per_column(off(mean), cols, [], lambda c: _central(F.col(c)))
+        distance = off(median).select(*[F.abs(c).alias(c) for c in cols])
+        mad = exact_quantiles(distance, cols, [0.5]).select("column", F.col("q0").alias("mad"))
         distinct = long_form(df, cols).groupBy("column").agg(F.count_distinct("value").alias("distinct"))
-        medians = {r["column"]: r["q2"] for r in quant.select("column", "q2").collect()}  # one per column
-        off = df.select(*[F.abs(number(c) - F.lit(medians.get(c)).cast("double")).alias(c) for c in cols])
-        mad = exact_quantiles(off, cols, [0.5]).select("column", F.col("q0").alias("mad"))
+        second = spread.join(mad, "column").join(distinct, "column", "left")
+        second = second.withColumn("distinct", F.coalesce("distinct", F.lit(0)))
     else:
-        sk = _per_column(_numbers(df, cols), cols, [], lambda c: {
-            "q": F.percentile_approx(c, probs, 10_000), "distinct": F.approx_count_distinct(c)})
-        quant = sk.select("column", *[F.element_at("q", j + 1).alias(f"q{j}") for j in range(5)])
-        distinct = sk.select("column", "distinct")
-        medians = {r["column"]: r["q2"] for r in quant.select("column", "q2").collect()}
-        off = df.select(*[F.abs(number(c) - F.lit(medians.get(c)).cast("double")).alias(c) for c in cols])
-        mad = _per_column(off, cols, [], lambda c: {"mad": F.percentile_approx(c, 0.5, 10_000)})
-    out = base.join(quant.select("column", *[f"q{j}" for j in range(5)]), "column", "left")
-    out = out.join(distinct, "column", "left").join(mad, "column", "left")
-    out = out.withColumn("distinct", F.coalesce("distinct", F.lit(0))).withColumnsRenamed(
-        {"q0": "p05", "q1": "p25", "q2": "median", "q3": "p75", "q4": "p95"})
-    out = out.withColumn("iqr", F.col("p75") - F.col("p25"))
+        both = df.select(*[F.struct((number(c) - F.lit(mean[c]).cast("double")).alias("d"),
+                                    F.abs(number(c) - F.lit(median[c]).cast("double")).alias("a")).alias(c) for c in cols])
+        second = _per_column(both, cols, [], lambda c: {
+            **_central(F.col(f"`{c}`.d")), "mad": F.percentile_approx(F.col(f"`{c}`.a"), 0.5, 10_000)})
+    out = base.join(second, "column")
+    n, m2 = F.col("count").cast("double"), F.col("m2")
+    spread_out = m2 > 0
+    g1 = F.sqrt(n) * F.col("m3") / F.pow(m2, F.lit(1.5))
+    g2 = n * F.col("m4") / (m2 * m2) - 3
+    std = F.when(n > 1, F.sqrt(m2 / (n - 1)))
+    out = out.select(
+        "column", "rows", "count", "missing", "zeros", "negatives", "mean", "sum", "min", "max",
+        (F.col("max") - F.col("min")).alias("range"), std.alias("std"),
+        F.when(n > 1, m2 / (n - 1)).alias("variance"), F.try_divide(std, F.col("mean")).alias("cv"),
+        # sample-corrected
+        F.when(spread_out & (n > 2), g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("skewness"),
+        F.when(spread_out & (n > 3), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)).alias("kurtosis"),
+        F.col("q0").alias("p05"), F.col("q1").alias("p25"), F.col("q2").alias("median"), F.col("q3").alias("p75"),
+        F.col("q4").alias("p95"), "distinct", "mad", (F.col("q3") - F.col("q1")).alias("iqr"))
     return out.join(monotone(df, cols, key), "column", "left") if key else out
 
 
@@ -255,7 +261,7 @@ def kde(df: DataFrame, col: str, grid: int = 200, by: str | None = None, fine: i
     step = (hi - lo) / (grid - 1)
     points = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.lit(lo) + i * F.lit(step))
     if by:
-        joined = _join_same(counted, broadcast_if_small(materialise(stats)), by_cols, "inner")
+        joined = join_same(counted, broadcast_if_small(materialise(stats)), by_cols, "inner")
     else:
         one = stats.first()
         if one is None:
@@ -281,7 +287,7 @@ def box_stats(df: DataFrame, cols, by=None) -> DataFrame:
     fences = broadcast_if_small(_fences(df, cols, by_cols))
     v = F.col("value")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    joined = _join_same(long_form(df, cols, by_cols), fences, [*by_cols, "column"], "inner")
+    joined = join_same(long_form(df, cols, by_cols), fences, [*by_cols, "column"], "inner")
     return joined.groupBy(*by_cols, "column", "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.sum((~inside).cast("long")).alias("outliers"))
@@ -304,7 +310,7 @@ def flag_outliers(df: DataFrame, cols, rule: str = "iqr", by=None, k: float | No
         wide = limits.groupBy(*by_cols).agg(*[
             F.max(F.when(F.col("column") == c, F.struct("lo", "hi"))).alias(f"_lim{i}")
             for i, c in enumerate(cols)])
-        joined = _join_same(df, broadcast_if_small(materialise(wide)), by_cols)
+        joined = join_same(df, broadcast_if_small(materialise(wide)), by_cols)
     else:
         found = {r["column"]: (r["lo"], r["hi"]) for r in limits.collect()}  # one row per column
         joined = df.withColumns({

@@ -28,29 +28,33 @@ def long_form(df: DataFrame, cols, by=()) -> DataFrame:
     )
 
 
-def _brackets(df, cols, probs, by, accuracy):
+def _brackets(df, cols, probs, by, accuracy, also):
     margin = 3.0 / accuracy
     ends = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     sketch = df.select(*by, *[number(c).alias(c) for c in cols]).groupBy(*by).agg(*[
         F.struct(
             F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-            F.percentile_approx(c, ends, accuracy).alias("b")).alias(f"s{i}")
+            F.percentile_approx(c, ends, accuracy).alias("b"),
+            *[e.alias(n) for n, e in also(c).items()]).alias(f"s{i}")
         for i, c in enumerate(cols)])
     k = len(probs)
-    per_column = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"s{i}.n").alias("n"), F.col(f"s{i}.lo").alias("lo"),
-                 F.col(f"s{i}.hi").alias("hi"), F.col(f"s{i}.b").alias("b")) for i, c in enumerate(cols)])
-    flat = sketch.select(*by, F.inline(per_column))
+    per_column = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("s")) for i, c in enumerate(cols)])
+    flat = sketch.select(*by, F.inline(per_column)).select(*by, "column", "s.*")
     return flat.select(
         *by, "column", "n",
         *[(F.col("lo") if ends[j] <= 0 else F.element_at("b", j + 1)).alias(f"lo{j}") for j in range(k)],
-        *[(F.col("hi") if ends[k + j] >= 1 else F.element_at("b", k + j + 1)).alias(f"hi{j}") for j in range(k)])
+        *[(F.col("hi") if ends[k + j] >= 1 else F.element_at("b", k + j + 1)).alias(f"hi{j}") for j in range(k)],
+        *also(cols[0]))
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY) -> DataFrame:
-    """(by..., column, n, q0, q1, ...): linearly interpolated quantiles of the non-missing values."""
+def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY, also=lambda c: {}) -> DataFrame:
+    """(by..., column, n, q0, q1, ..., also...): linearly interpolated quantiles of the non-missing values.
+
+    ``also`` gives further aggregates of a column, {name: expression}, taken in the sketch pass.
+    The frame is read twice: hand in a stored table, or ``materialise`` a costly one first.
+    """
     cols, by, probs = list(cols), list(by), sorted(probs)
-    brackets, rows = settle(_brackets(df, cols, probs, by, accuracy), bounded=not by)
+    brackets, rows = settle(_brackets(df, cols, probs, by, accuracy, also), bounded=not by)
     if rows is None:
         longest = brackets.agg(F.max("n")).first()[0] or 0
         brackets_side = brackets
@@ -66,7 +70,20 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY)
             missed = F.array_contains(F.transform(F.array(*[f"q{j}" for j in range(len(probs))]), F.isnull), True)
             if result.filter(missed & (F.col("n") > 0)).isEmpty():
                 break
-    return result
+    more = list(also(cols[0]))
+    if not more:
+        return result
+    return join_same(result, brackets_side.select(*by, "column", *more), [*by, "column"])
+
+
+def join_same(left: DataFrame, right: DataFrame, names, how: str = "left") -> DataFrame:
+    """Null-safe join on the named columns; the left names are kept."""
+    renamed = right.select(*[
+        F.col(f"`{c}`").alias(f"_r_{c}") if c in names else F.col(f"`{c}`") for c in right.columns])
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & F.col(f"`{n}`").eqNullSafe(F.col(f"`_r_{n}`"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{n}" for n in names])
 
 
 def _select(df, cols, probs, by, brackets, longest, fold):

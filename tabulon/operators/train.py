@@ -47,7 +47,13 @@ def _fit(df: DataFrame, prep: Prep, classifier, label: str) -> PipelineModel:
     prepared = prep.fit(df)
     rows = prepared.transform(df).select(prep.output, F.col(label).cast("double").alias("_label"))
     classifier = classifier.setFeaturesCol(prep.output).setLabelCol("_label")
-    return PipelineModel([*prepared.stages, classifier.fit(rows)])
+    return PipelineModel([*prepared.stages, classifier.fit(spread_out(rows))])
+
+
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Use every core for an iterative fit: only an input with fewer partitions than cores is shuffled."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def fit_gbt(df: DataFrame, prep: Prep, label: str, **params) -> PipelineModel:
@@ -73,7 +79,7 @@ def baseline_sweep(train: DataFrame, valid: DataFrame, prep: Prep, label: str, n
     """(model, f1, precision, recall, accuracy) of simple models with the same preparation, best first."""
     checkpoint_root(train.sparkSession)
     prepared = prep.fit(train)
-    rows = prepared.transform(train).select(prep.output, F.col(label).cast("double").alias("_label")).persist()
+    rows = spread_out(prepared.transform(train).select(prep.output, F.col(label).cast("double").alias("_label"))).persist()
     held = prepared.transform(valid).select(prep.output, F.col(label).cast("int").alias("_y")).persist()
     results = []
     try:

@@ -35,11 +35,12 @@ def sorted_slices(df: DataFrame, order, by=()) -> DataFrame:
         .sortWithinPartitions(*keys, _TIE)
         .drop(_TIE)
     )
-    return materialise(laid_out).select(
+    # Numbered in the writing job and stored: later jobs read the numbers, whatever way they split the files.
+    return materialise(laid_out.select(
         "*",
         F.spark_partition_id().alias(SLICE),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(ROW),
-    )
+    ), "sorted")
 
 
 def dense_ids(df: DataFrame, order, name: str, start: int = 0) -> DataFrame:

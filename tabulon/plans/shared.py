@@ -33,15 +33,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write the frame out once (reliable checkpoint); survives the loss of executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder, one parent per application."""
+    root = checkpoint_root(spark).rstrip("/")
+    return f"{root}/tabulon-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write the frame out once, as a table in the shared folder, and read it from there.
+
+    Cuts the lineage, survives the loss of executors, and later passes read only the columns
+    they need.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote with ``scratch``; call it when results are saved."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark).rstrip('/')}/tabulon-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -56,7 +69,7 @@ def settle(df: DataFrame, bounded: bool, rows: int = 10_000) -> tuple[DataFrame,
     """Compute a small frame once.
 
     ``bounded`` frames (one row per column, say) come back as a local frame and its rows; others
-    are checkpointed, and turned local only after a count shows at most ``rows`` rows.
+    are written out, and turned local only after a count shows at most ``rows`` rows.
     """
     if not bounded:
         df = materialise(df)

@@ -5,40 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.plans.shared import BROADCAST_ROWS
+
 SALTS = 32
-_SAMPLE, _SHARE = 0.01, 0.01
+_SAMPLE, _SHARE, _LEAST = 0.01, 0.01, 50
 
 
-def hot_keys(df: DataFrame, keys) -> list:
-    """Keys that make up over 1 % of a sample: at most 100.
+def hot_hashes(df: DataFrame, keys) -> list[int]:
+    """Hashes of at most 100 keys, among them every key with over 1 % of a sample's rows.
 
     The sample only decides how rows are spread, never which rows are in the result.
     """
-    sample = df.select(*keys).sample(fraction=_SAMPLE, seed=11)
-    counted = sample.groupBy(*keys).count().orderBy(F.desc("count")).limit(int(1 / _SHARE)).collect()
-    if not counted:
-        return []
-    total = sum(r["count"] for r in counted)
-    return [tuple(r[k] for k in keys) for r in counted
-            if r["count"] >= 50 and r["count"] > _SHARE * total and all(r[k] is not None for k in keys)]
+    sample = df.select(F.xxhash64(*keys).alias("h")).sample(fraction=_SAMPLE, seed=11)
+    top = sample.groupBy("h").count().orderBy(F.desc("count")).limit(int(1 / _SHARE)).collect()
+    shown = sum(r["count"] for r in top)  # not more than the sample holds
+    return [r["h"] for r in top if r["count"] >= _LEAST and r["count"] > _SHARE * shown]
+
 
+def keyed_left_join(left: DataFrame, right: DataFrame, keys, how: str = "left", sample_from: DataFrame | None = None,
+                    right_rows: int | None = None) -> DataFrame:
+    """Equi-join with a right side that is unique per key.
 
-def keyed_left_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
-    """Equi-join with a right side that is unique per key; hot left keys are salted."""
+    A right side known to be small is broadcast.  Otherwise rows with a hot key, and rows whose
+    key is NULL, are spread over several partitions, the right rows of hot keys copied to each.
+    ``sample_from`` is a cheaper frame with the same key distribution to look for hot keys in.
+    """
     keys = list(keys)
-    hot = hot_keys(left, keys)
-    # NULL keys never match: spread them too, or all of them land in one partition.
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    if right_rows is not None and right_rows <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), keys, how)
+    hot = hot_hashes(left if sample_from is None else sample_from, keys)
+    # the same hash on both sides needs the same types
+    hashed = F.xxhash64(*[F.col(k).cast(left.schema[k].dataType) for k in keys])
     no_match = F.lit(False)
     for k in keys:
         no_match = no_match | F.col(k).isNull()
-    is_hot = F.lit(False)
-    for values in hot:
-        one = F.lit(True)
-        for k, v in zip(keys, values):
-            one = one & (F.col(k) == F.lit(v))
-        is_hot = is_hot | one
-    salted_left = left.withColumn("_salt", F.when(no_match | is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(copies)) if hot else right.withColumn("_salt", F.lit(0))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    needs_salt = no_match | hashed.isin(hot) if hot else no_match
+    salted_left = left.withColumn("_salt", F.when(needs_salt, spread).otherwise(F.lit(0)))
+    copies = F.when(hashed.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.withColumn("_salt", F.explode(copies) if hot else F.lit(0))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from tabulon.sources.tables import VersionedTable
 
 
-def duplicate_keys(df: DataFrame, keys) -> DataFrame:
-    """Key values that occur more than once, or hold a NULL."""
+def key_check(df: DataFrame, keys) -> tuple[int, bool]:
+    """(rows, unique): unique when every key occurs once and holds no NULL.  One combined aggregate."""
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    return df.groupBy(*keys).count().filter((F.col("count") > 1) | any_null)
+    row = df.groupBy(*keys).count().agg(
+        F.sum("count").alias("rows"), F.max("count").alias("most"), F.max(any_null).alias("nulls")).first()
+    return row["rows"] or 0, (row["most"] or 1) == 1 and not row["nulls"]
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+def merge_frames(target: DataFrame, source: DataFrame, keys, newer_by: str | None = None) -> DataFrame:
     """Upsert: matched keys take the supplied columns (a NULL in the source wins), new keys are
-    added, other rows and columns are kept.  Both sides must be unique by key."""
+    added, other rows and columns are kept.  Both sides must be unique by key.
+
+    With ``newer_by``, a matched row is left alone if its value of that column is later than the
+    source's, so feeds that arrive out of order end in the same state."""
     keys = list(keys)
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -26,13 +31,17 @@ def merge_frames(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     t = target.withColumn("_old", F.lit(True)).alias("t")
     s = source.withColumn("_new", F.lit(True)).alias("s")
     joined = t.join(s, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys], "full_outer")
+    take = F.col("_new")
+    if newer_by:
+        take = take & (F.col(f"t.`{newer_by}`").isNull() | (F.col(f"s.`{newer_by}`") >= F.col(f"t.`{newer_by}`")))
+    take = F.coalesce(take, F.lit(False))
     out = []
     for f in target.schema.fields:
         c = f.name
         if c in keys:
             value = F.coalesce(F.col(f"t.`{c}`"), F.col(f"s.`{c}`"))
         elif c in source.columns:
-            value = F.when(F.col("_new"), F.col(f"s.`{c}`").cast(f.dataType)).otherwise(F.col(f"t.`{c}`"))
+            value = F.when(take, F.col(f"s.`{c}`").cast(f.dataType)).otherwise(F.col(f"t.`{c}`"))
         else:
             value = F.col(f"t.`{c}`")
         out.append(value.cast(f.dataType).alias(c))
@@ -53,6 +62,10 @@ class FeatureTable:
     def description(self) -> str:
         return self.table.info()["description"]
 
+    @property
+    def rows(self) -> int:
+        return self.table.info()["rows"]
+
     def read(self) -> DataFrame:
         return self.table.read()
 
@@ -62,17 +75,17 @@ class FeatureTable:
         made = cls(df.sparkSession, path)
         if made.table.version():
             raise ValueError(f"feature table exists: {path}")
-        if not duplicate_keys(df, keys).isEmpty():
+        if not key_check(df, keys)[1]:
             raise ValueError(f"rows are not unique by {list(keys)}")
         made.table.write(df, expected=0, keys=list(keys), description=description)
         return made
 
-    def merge(self, source: DataFrame, **info) -> int:
+    def merge(self, source: DataFrame, newer_by: str | None = None, **info) -> int:
         """Upsert the rows; returns the new version."""
         base = self.table.version()
         known = self.table.info(base)
-        if not duplicate_keys(source, known["keys"]).isEmpty():
+        if not key_check(source, known["keys"])[1]:
             raise ValueError(f"source rows are not unique by {known['keys']}")
-        merged = merge_frames(self.table.read(base), source, known["keys"])
-        kept = {k: v for k, v in known.items() if k != "folder"}
+        merged = merge_frames(self.table.read(base), source, known["keys"], newer_by)
+        kept = {k: v for k, v in known.items() if k not in ("folder", "rows")}
         return self.table.write(merged, expected=base, **{**kept, **info})

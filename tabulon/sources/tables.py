@@ -61,7 +61,9 @@ class VersionedTable:
         base = self.version() if expected is None else expected
         folder = f"data/{base + 1:08d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
-        self._files.write(f"{self.path}/_commits/{base + 1:08d}.json", json.dumps({**info, "folder": folder}))
+        rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()  # from the file footers
+        self._files.write(f"{self.path}/_commits/{base + 1:08d}.json", json.dumps(
+            {**info, "folder": folder, "rows": rows}))
         return base + 1
 
 

@@ -44,7 +44,8 @@ def latest_per_key(df: DataFrame, keys, ts: str) -> DataFrame:
 
 
 def merge_stream(stream: DataFrame, table: str, ts: str, checkpoint: str) -> None:
-    """Upsert each micro-batch into a feature table.
+    """Upsert the latest row per key of each micro-batch into a feature table; a batch that comes
+    late does not replace newer rows.
 
     The batch number is stored in the table's commit, so a batch that is run again after a
     failure changes nothing.
@@ -57,7 +58,7 @@ def merge_stream(stream: DataFrame, table: str, ts: str, checkpoint: str) -> Non
         if done.get(checkpoint, -1) >= batch_id:
             return
         fresh = latest_per_key(batch, target.keys, ts)
-        target.merge(fresh, batches={**done, checkpoint: batch_id})
+        target.merge(fresh, newer_by=ts, batches={**done, checkpoint: batch_id})
 
     (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

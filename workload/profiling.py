@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulon.operators import corr, profile
 from tabulon.operators.shape import zero_to_null
+from tabulon.plans.shared import materialise
 from workload.registry import query, r, rounded, table
 from workload.star import MEASURES, STAR_SQL, long_sql, star
 
@@ -37,7 +38,7 @@ FROM (SELECT {lead} "column", CAST(count(*) AS DOUBLE) c, avg(value) m, stddev_s
     f" AS zero_discount_lines) FROM ({STAR_SQL}))", "c_mktsegment")))
 def flagship_star_profile(spark, d):
     """Entity tables joined per customer, zeros made missing, described per market segment."""
-    frame = zero_to_null(star(spark, d), ["zero_tax_lines", "zero_discount_lines"])
+    frame = materialise(zero_to_null(star(spark, d), ["zero_tax_lines", "zero_discount_lines"]), "star")
     return rounded(profile.describe(
         frame, ["c_acctbal", "total_spend", "zero_tax_lines", "zero_discount_lines"], ["c_mktsegment"]), 4)
 
@@ -108,7 +109,7 @@ def profile_columns(spark, d):
 
 @query("profile_columns_star", _profile_sql(f"({STAR_SQL})", long_sql(STAR_MEASURES, f"({STAR_SQL})")))
 def profile_columns_star(spark, d):
-    return _rounded_profile(profile.profile_columns(star(spark, d), STAR_MEASURES))
+    return _rounded_profile(profile.profile_columns(materialise(star(spark, d), "star"), STAR_MEASURES))
 
 
 @query("profile_columns_approx")
