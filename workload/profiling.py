@@ -26,13 +26,13 @@ def assemble_star(spark, d):
 
 DESCRIBE = """
 SELECT {lead} "column", unnest(['count','mean','std','min','25%','50%','75%','max']) AS stat,
-  unnest([c, round(m, 4), round(s, 4), round(lo, 4), round(q1, 4), round(q2, 4), round(q3, 4), round(hi, 4)]) AS value
+  unnest([c, round(m, {k}), round(s, {k}), round(lo, {k}), round(q1, {k}), round(q2, {k}), round(q3, {k}), round(hi, {k})]) AS value
 FROM (SELECT {lead} "column", CAST(count(*) AS DOUBLE) c, avg(value) m, stddev_samp(value) s, min(value) lo,
   quantile_cont(value, 0.25) q1, quantile_cont(value, 0.5) q2, quantile_cont(value, 0.75) q3, max(value) hi
   FROM ({source}) GROUP BY {lead} "column")"""
 
 
-@query("flagship_star_profile", DESCRIBE.format(lead="c_mktsegment,", source=long_sql(
+@query("flagship_star_profile", DESCRIBE.format(k=6, lead="c_mktsegment,", source=long_sql(
     ["c_acctbal", "total_spend", "zero_tax_lines", "zero_discount_lines"],
     f"(SELECT * REPLACE (nullif(zero_tax_lines, 0) AS zero_tax_lines, nullif(zero_discount_lines, 0)"
     f" AS zero_discount_lines) FROM ({STAR_SQL}))", "c_mktsegment")))
@@ -40,7 +40,7 @@ def flagship_star_profile(spark, d):
     """Entity tables joined per customer, zeros made missing, described per market segment."""
     frame = materialise(zero_to_null(star(spark, d), ["zero_tax_lines", "zero_discount_lines"]), "star")
     return rounded(profile.describe(
-        frame, ["c_acctbal", "total_spend", "zero_tax_lines", "zero_discount_lines"], ["c_mktsegment"]), 4)
+        frame, ["c_acctbal", "total_spend", "zero_tax_lines", "zero_discount_lines"], ["c_mktsegment"]))
 
 
 @query("zero_counts", "SELECT " + ", ".join(
@@ -49,14 +49,14 @@ def zero_counts(spark, d):
     return profile.zero_counts(lines(spark, d), MEASURES)
 
 
-@query("describe", DESCRIBE.format(lead="", source=LINES_LONG))
+@query("describe", DESCRIBE.format(k=7, lead="", source=LINES_LONG))
 def describe(spark, d):
-    return rounded(profile.describe(lines(spark, d), MEASURES), 4)
+    return rounded(profile.describe(lines(spark, d), MEASURES), 7)
 
 
-@query("describe_by", DESCRIBE.format(lead="l_returnflag,", source=long_sql(MEASURES, "lineitem", "l_returnflag")))
+@query("describe_by", DESCRIBE.format(k=7, lead="l_returnflag,", source=long_sql(MEASURES, "lineitem", "l_returnflag")))
 def describe_by(spark, d):
-    return rounded(profile.describe(lines(spark, d), MEASURES, ["l_returnflag"]), 4)
+    return rounded(profile.describe(lines(spark, d), MEASURES, ["l_returnflag"]), 7)
 
 
 @query("quick_summary")
@@ -80,7 +80,7 @@ def profile_overview(spark, d):
     return rounded(profile.profile_overview(frame))
 
 
-def _profile_sql(source, long):
+def _profile_sql(source, long, k):
     return f"""
 WITH v AS ({long}), t AS (SELECT count(*) AS n_all FROM {source}),
 s AS (SELECT "column", count(*) AS n, count(*) FILTER (value = 0) AS zeros, count(*) FILTER (value < 0) AS negatives,
@@ -90,7 +90,7 @@ s AS (SELECT "column", count(*) AS n, count(*) FILTER (value = 0) AS zeros, coun
   quantile_cont(value, 0.75) q3, quantile_cont(value, 0.95) q4 FROM v GROUP BY "column"),
 m AS (SELECT v."column", quantile_cont(abs(value - q2), 0.5) AS mad FROM v JOIN s ON v."column" = s."column"
   GROUP BY v."column")
-SELECT s."column", n_all AS rows, n AS count, n_all - n AS missing, zeros, negatives, round(mean, 4) AS mean,
+SELECT s."column", n_all AS rows, n AS count, n_all - n AS missing, zeros, negatives, round(mean, {k}) AS mean,
   round(total, 2) AS sum, round(lo, 4) AS min, round(hi, 4) AS max, round(hi - lo, 4) AS range, round(sd, 4) AS std,
   round(vs, 2) AS variance, round(sd / mean, 4) AS cv, round(sk, 4) AS skewness, round(ku, 4) AS kurtosis,
   round(q0, 4) AS p05, round(q1, 4) AS p25, round(q2, 4) AS median, round(q3, 4) AS p75, round(q4, 4) AS p95,
@@ -98,23 +98,24 @@ SELECT s."column", n_all AS rows, n AS count, n_all - n AS missing, zeros, negat
 FROM s JOIN m ON s."column" = m."column", t"""
 
 
-def _rounded_profile(df):
-    return rounded(rounded(df, 2, ("sum", "variance")), 4)
+def _rounded_profile(df, digits):
+    return rounded(rounded(rounded(df, digits, ("mean",)), 2, ("sum", "variance")), 4, [
+        c for c in df.columns if c not in ("mean", "sum", "variance")])
 
 
-@query("profile_columns", _profile_sql("lineitem", LINES_LONG))
+@query("profile_columns", _profile_sql("lineitem", LINES_LONG, 7))
 def profile_columns(spark, d):
-    return _rounded_profile(profile.profile_columns(lines(spark, d), MEASURES))
+    return _rounded_profile(profile.profile_columns(lines(spark, d), MEASURES), 7)
 
 
-@query("profile_columns_star", _profile_sql(f"({STAR_SQL})", long_sql(STAR_MEASURES, f"({STAR_SQL})")))
+@query("profile_columns_star", _profile_sql(f"({STAR_SQL})", long_sql(STAR_MEASURES, f"({STAR_SQL})"), 6))
 def profile_columns_star(spark, d):
-    return _rounded_profile(profile.profile_columns(materialise(star(spark, d), "star"), STAR_MEASURES))
+    return _rounded_profile(profile.profile_columns(materialise(star(spark, d), "star"), STAR_MEASURES), 6)
 
 
 @query("profile_columns_approx")
 def profile_columns_approx(spark, d):
-    return _rounded_profile(profile.profile_columns(lines(spark, d), MEASURES, exact=False))
+    return _rounded_profile(profile.profile_columns(lines(spark, d), MEASURES, exact=False), 7)
 
 
 @query("monotone", """
@@ -363,11 +364,11 @@ def sample_points(spark, d):
 
 
 @query("group_profile", """
-SELECT n_name, count(*) AS n, round(avg(c_acctbal), 6) AS c_acctbal_mean FROM customer
+SELECT n_name, count(*) AS n, round(avg(c_acctbal), 8) AS c_acctbal_mean FROM customer
 JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def group_profile(spark, d):
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return rounded(profile.group_profile(table(spark, d, "customer").join(nation, "c_nationkey"), "n_name", ["c_acctbal"]))
+    return rounded(profile.group_profile(table(spark, d, "customer").join(nation, "c_nationkey"), "n_name", ["c_acctbal"]), 8)
 
 
 SKEWED = "(SELECT o_custkey, exp(o_totalprice / 100000) AS e, o_totalprice FROM orders)"
@@ -382,15 +383,15 @@ def suggest_imputation(spark, d):
 
 
 @query("compare_profiles", f"""
-SELECT "column", a.n AS count_a, b.n AS count_b, b.n - a.n AS count_diff, round(a.m, 6) AS mean_a,
-  round(b.m, 6) AS mean_b, round(b.m - a.m, 6) AS mean_diff
+SELECT "column", a.n AS count_a, b.n AS count_b, b.n - a.n AS count_diff, round(a.m, 7) AS mean_a,
+  round(b.m, 7) AS mean_b, round(b.m - a.m, 7) AS mean_diff
 FROM (SELECT "column", count(*) n, avg(value) m FROM ({LINES_LONG}) GROUP BY 1) a
 JOIN (SELECT "column", count(*) n, avg(value) m FROM ({long_sql(MEASURES, NULLED)}) GROUP BY 1) b USING ("column")""")
 def compare_profiles(spark, d):
     before = lines(spark, d).select(*MEASURES)
     after = zero_to_null(before, ["l_discount", "l_tax"])
     return rounded(profile.compare_profiles(profile.profile_columns(before, MEASURES, exact=False),
-                                            profile.profile_columns(after, MEASURES, exact=False), ["count", "mean"]))
+                                            profile.profile_columns(after, MEASURES, exact=False), ["count", "mean"]), 7)
 
 
 @query("alerts", f"""

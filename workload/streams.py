@@ -57,9 +57,9 @@ def score_stream(spark, d):
 
 @query("score_stream_lookup", """
 SELECT event_id, user_id, value, mean_value, CAST(value > mean_value AS INTEGER) AS prediction
-FROM events JOIN (SELECT user_id, round(avg(value), 6) AS mean_value FROM events GROUP BY 1) USING (user_id)""")
+FROM events JOIN (SELECT user_id, round(avg(value), 8) AS mean_value FROM events GROUP BY 1) USING (user_id)""")
 def score_stream_lookup(spark, d):
-    means = rounded(table(spark, d, "events").groupBy("user_id").agg(F.avg("value").alias("mean_value")))
+    means = rounded(table(spark, d, "events").groupBy("user_id").agg(F.avg("value").alias("mean_value")), 8)
     made = FeatureTable.create(means, scratch(spark, "means"), ["user_id"], "mean value")
     spec = lk.Lookup(made.table.path, ["mean_value"], ["user_id"]).spec()
     stream = event_stream(spark, d).select("event_id", "user_id", "value")
