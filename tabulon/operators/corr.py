@@ -81,7 +81,7 @@ def _named(result: DataFrame, pairs) -> DataFrame:
     """pair numbers back to column names; pairs without a value get NULL."""
     spark = result.sparkSession
     names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string")
-    return names.join(result, "pair", "left").select("x", "y", "r")
+    return names.join(F.broadcast(result), "pair", "left").select("x", "y", "r")
 
 
 def _mid_ranks(counts, side, longest):
@@ -167,7 +167,7 @@ def contingency_tests(df: DataFrame, cols, bins: int = 10) -> DataFrame:
                             (F.col("n") * (F.least("kx", "ky") - 1)).cast("double")))
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
                                             "pair int, x string, y string")
-    return names.join(chi.withColumn("cramers_v", v), "pair", "left").select("x", "y", "n", "chi2", "cramers_v")
+    return names.join(F.broadcast(chi.withColumn("cramers_v", v)), "pair", "left").select("x", "y", "n", "chi2", "cramers_v")
 
 
 def nullity_corr(df: DataFrame, cols) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.columns import hash_text, number, ratio
 from tabulon.operators.quantiles import exact_quantiles
 from tabulon.plans.ordered import dense_ids, running
+from tabulon.plans.shared import materialise
 
 
 def confusion(df: DataFrame, label: str, pred: str, classes=(0, 1)) -> DataFrame:
@@ -15,6 +16,7 @@ def confusion(df: DataFrame, label: str, pred: str, classes=(0, 1)) -> DataFrame
     counts = df.groupBy(F.col(label).cast("int").alias("actual"), F.col(pred).cast("int").alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
     grid = df.sparkSession.createDataFrame([(a, p) for a in classes for p in classes], "actual int, predicted int")
+    counts = F.broadcast(counts.filter(F.col("actual").isin(*classes) & F.col("predicted").isin(*classes)))
     return grid.join(counts, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
@@ -53,12 +55,14 @@ def roc_score_hard(df: DataFrame, label: str, pred: str, by=()) -> DataFrame:
 
 
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(score, pos, neg, cum_pos, cum_neg): one row per distinct score, cumulated from the top."""
+    """(score, pos, neg, cum_pos, cum_neg): one row per distinct score, cumulated from the top.
+
+    Written out, so the totals and every figure drawn from it do not score the frame again."""
     y = F.col(label).cast("int")
     groups = (df.select(number(score).alias("score"), y.alias("y")).filter("score is not null and y is not null")
               .groupBy("score").agg(F.sum((F.col("y") == 1).cast("long")).alias("pos"),
                                     F.sum((F.col("y") == 0).cast("long")).alias("neg")))
-    return running(groups, [F.desc("score")], sums={"cum_pos": "pos", "cum_neg": "neg"})
+    return materialise(running(groups, [F.desc("score")], sums={"cum_pos": "pos", "cum_neg": "neg"}), "curve")
 
 
 def _totals(curve: DataFrame) -> tuple[int, int]:

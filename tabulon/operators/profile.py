@@ -209,6 +209,9 @@ def bin_edges(df: DataFrame, cols, bins="auto", quartiles: DataFrame | None = No
     return edges
 
 
+FULL_BINS = 100_000
+
+
 def bin_index(col, lo: float, hi: float, count: int):
     """0-based equal-width bin; the last bin is closed."""
     width = (hi - lo) / count
@@ -216,8 +219,10 @@ def bin_index(col, lo: float, hi: float, count: int):
 
 
 def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame | None = None) -> DataFrame:
-    """(by, column, bin, left, right, n) with shared edges for all groups; empty bins have n = 0
-    when there is no ``by``."""
+    """(by, column, bin, left, right, n) with shared edges for all groups.
+
+    Empty bins are listed with n = 0 when there is no ``by`` and the column has at most
+    ``FULL_BINS`` bins (a far outlier can make "auto" ask for very many); otherwise left out."""
     cols = list(cols)
     edges = bin_edges(df, cols, bins, quartiles)
     have = [c for c in cols if c in edges]
@@ -230,11 +235,13 @@ def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame |
               .groupBy(*by_cols, "column", "bin").agg(F.count(F.lit(1)).alias("n")))
     lo = F.coalesce(*[F.when(F.col("column") == c, F.lit(edges[c][0])) for c in have])
     width = F.coalesce(*[F.when(F.col("column") == c, F.lit((edges[c][1] - edges[c][0]) / edges[c][2])) for c in have])
-    if not by:
+    full = [c for c in have if edges[c][2] <= FULL_BINS]
+    if not by and full:
         grid = spark.range(1).select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.lit(edges[c][2]).alias("count")) for c in have])).alias("g")).select(
+            F.struct(F.lit(c).alias("column"), F.lit(edges[c][2]).cast("long").alias("count")) for c in full])).alias("g")).select(
             "g.column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g.count") - 1)).alias("bin"))
-        counts = grid.join(counts, ["column", "bin"], "left")
+        counts = counts.unionByName(grid.withColumn("n", F.lit(0).cast("long"))).groupBy("column", "bin").agg(
+            F.sum("n").alias("n"))
     return counts.select(*by_cols, "column", "bin", (lo + F.col("bin") * width).alias("left"),
                          (lo + (F.col("bin") + 1) * width).alias("right"),
                          F.coalesce("n", F.lit(0)).cast("long").alias("n"))

@@ -13,47 +13,59 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import hash_text
+from tabulon.plans.shared import materialise
 
 _DIGITS = 5  # 16^5 prefixes per class
 _MAX_CLASSES = 10_000
 
 
-def _class_counts(df, label):
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_CLASSES + 1).collect()
+def _hashed(df, key, label, seed):
+    return df.select(F.col(label).alias("_y"), F.col(key).alias("_key"), hash_text(key, F.lit(str(seed))).alias("_h"))
+
+
+def _prefix():
+    return F.substring("_h", 1, _DIGITS)
+
+
+def _prefix_counts(df, key, label, seed):
+    """(class, hash prefix, rows): at most 16^5 rows per class, written out once."""
+    counts = _hashed(df, key, label, seed).groupBy("_y", _prefix().alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    return materialise(counts, "prefixes")
+
+
+def _class_counts(prefixes, label):
+    counts = prefixes.groupBy("_y").agg(F.sum("_m").alias("n")).limit(_MAX_CLASSES + 1).collect()
     if len(counts) > _MAX_CLASSES:
         raise ValueError(f"{label} has over {_MAX_CLASSES} classes")
-    return sorted(((r[label], r["n"]) for r in counts), key=lambda p: (p[0] is None, p[0]))
+    return sorted(((r["_y"], r["n"]) for r in counts), key=lambda p: (p[0] is None, p[0]))
 
 
-def _cuts(df, key, label, seed, ranks):
+def _cuts(df, prefixes, key, label, seed, ranks):
     """The (hash, key) of the row at each wanted 1-based rank, as rows (class, cut, hash, key).
 
     ``ranks`` is a list of (class, cut number, rank); one small row each.
     """
-    spark = df.sparkSession
     class_type = df.schema[label].dataType.simpleString()
-    wanted = spark.createDataFrame(ranks, f"_class {class_type}, _cut int, _rank long")
-    hashed = df.select(F.col(label).alias("_y"), F.col(key).alias("_key"), hash_text(key, F.lit(str(seed))).alias("_h"))
-    prefix = F.substring("_h", 1, _DIGITS)
-    per_prefix = hashed.groupBy("_y", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    wanted = df.sparkSession.createDataFrame(ranks, f"_class {class_type}, _cut int, _rank long")
     w = Window.partitionBy("_y").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = per_prefix.withColumn("_upto", F.sum("_m").over(w))  # at most 16^5 rows per class
+    upto = prefixes.withColumn("_upto", F.sum("_m").over(w))  # at most 16^5 rows per class
     hit = upto.join(F.broadcast(wanted), F.col("_y").eqNullSafe(F.col("_class"))
                     & (F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_m") < F.col("_rank")))
     hit = hit.select("_class", "_cut", F.col("_p").alias("_hp"),
                      (F.col("_rank") - F.col("_upto") + F.col("_m")).alias("_within"))
     # Only the rows of the hit prefixes are ranked: about n / 16^5 per cut.
-    near = hashed.join(F.broadcast(hit), F.col("_y").eqNullSafe(F.col("_class")) & (prefix == F.col("_hp")))
+    near = _hashed(df, key, label, seed).join(
+        F.broadcast(hit), F.col("_y").eqNullSafe(F.col("_class")) & (_prefix() == F.col("_hp")))
     order = Window.partitionBy("_class", "_cut").orderBy("_h", "_key")
     return (near.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") == F.col("_within"))
             .select("_class", "_cut", F.col("_h").alias("_cut_h"), F.col("_key").alias("_cut_key")))
 
 
-def _with_cut_number(df, key, label, seed, ranks, name):
+def _with_cut_number(df, prefixes, key, label, seed, ranks, name):
     """Add how many cuts of its class lie strictly before the row."""
     if not ranks:
         return df.withColumn(name, F.lit(0))
-    cuts = _cuts(df, key, label, seed, ranks).groupBy("_class").agg(
+    cuts = _cuts(df, prefixes, key, label, seed, ranks).groupBy("_class").agg(
         F.collect_list(F.struct(F.col("_cut_h").alias("h"), F.col("_cut_key").alias("k"))).alias("_at"))
     row = F.struct(hash_text(key, F.lit(str(seed))).alias("h"), F.col(key).alias("k"))
     joined = df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")), "left")  # one row per class
@@ -80,10 +92,11 @@ def stratified_split(df: DataFrame, key: str, label: str, test: float = 0.2, see
     The test rows of a class are its first ones in hash order, so the result does not depend
     on the layout of the frame.
     """
-    sizes = test_sizes(_class_counts(df, label), test)
+    prefixes = _prefix_counts(df, key, label, seed)
+    sizes = test_sizes(_class_counts(prefixes, label), test)
     ranks = [(c, 0, n) for c, n in sizes.items() if n > 0]
     none = [c for c, n in sizes.items() if n == 0]
-    cut = _with_cut_number(df, key, label, seed, ranks, "_passed")
+    cut = _with_cut_number(df, prefixes, key, label, seed, ranks, "_passed")
     is_train = F.col("_passed") > 0
     for c in none:
         is_train = is_train | F.col(label).eqNullSafe(F.lit(c))
@@ -93,12 +106,13 @@ def stratified_split(df: DataFrame, key: str, label: str, test: float = 0.2, see
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 0, name: str = "fold") -> DataFrame:
     """Add a 0-based fold number; each class is cut into k runs of its hash order whose sizes
     differ by at most one (longer ones first)."""
+    prefixes = _prefix_counts(df, key, label, seed)
     ranks = []
-    for c, n in _class_counts(df, label):
+    for c, n in _class_counts(prefixes, label):
         size, extra = divmod(n, k)
         upto = 0
         for i in range(k - 1):
             upto += size + (1 if i < extra else 0)
             if 0 < upto:
                 ranks.append((c, i, upto))
-    return _with_cut_number(df, key, label, seed, ranks, name).withColumn(name, F.col(name).cast("int"))
+    return _with_cut_number(df, prefixes, key, label, seed, ranks, name).withColumn(name, F.col(name).cast("int"))

@@ -43,11 +43,16 @@ def gbt_params(trial: dict) -> dict:
     return out
 
 
-def _fit(df: DataFrame, prep: Prep, classifier, label: str) -> PipelineModel:
+def fit_classifier(df: DataFrame, prep: Prep, classifier, label: str) -> PipelineModel:
+    """Any of Spark's classifiers behind the same preparation."""
     prepared = prep.fit(df)
     rows = prepared.transform(df).select(prep.output, F.col(label).cast("double").alias("_label"))
     classifier = classifier.setFeaturesCol(prep.output).setLabelCol("_label")
-    return PipelineModel([*prepared.stages, classifier.fit(spread_out(rows))])
+    rows = spread_out(rows).persist()  # read many times by the fit; spills to disk
+    try:
+        return PipelineModel([*prepared.stages, classifier.fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 def spread_out(rows: DataFrame) -> DataFrame:
@@ -59,11 +64,11 @@ def spread_out(rows: DataFrame) -> DataFrame:
 def fit_gbt(df: DataFrame, prep: Prep, label: str, **params) -> PipelineModel:
     """Binary gradient-boosted trees on the prepared columns."""
     checkpoint_root(df.sparkSession)  # boosting cuts its own lineage there
-    return _fit(df, prep, GBTClassifier(**params), label)
+    return fit_classifier(df, prep, GBTClassifier(**params), label)
 
 
 def fit_logistic(df: DataFrame, prep: Prep, label: str, **params) -> PipelineModel:
-    return _fit(df, prep, LogisticRegression(**params), label)
+    return fit_classifier(df, prep, LogisticRegression(**params), label)
 
 
 BASELINES = {

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.operators.lookup import lookups_from_specs
-from tabulon.operators.score import score
+from tabulon.operators.score import score, score_with_lookup
 from tabulon.operators.train import SavedModel
 from tabulon.sources.feature_table import FeatureTable
 
@@ -65,15 +64,22 @@ def merge_stream(stream: DataFrame, table: str, ts: str, checkpoint: str) -> Non
 
 
 def score_stream(stream: DataFrame, model, out: str, checkpoint: str) -> DataFrame:
-    """Score a stream with the batch operator; stored features come from a stream-static join."""
-    if isinstance(model, SavedModel) and model.lookups:
-        for one in lookups_from_specs(model.lookups):
-            features = FeatureTable(stream.sparkSession, one.table).read()
-            keys = one.key_map()
-            right = features.select(*[F.col(k).alias(v) for k, v in keys.items()], *one.features)
-            stream = stream.join(right, list(keys.values()), "left")
-    run_available(score(stream, model), out, checkpoint)
-    return stream.sparkSession.read.parquet(out)
+    """Score a stream with the batch operators, exactly once.
+
+    A model with saved lookups scores each micro-batch with the batch lookup (hot keys are
+    spread there too); a batch that is run again replaces its own output folder.
+    """
+    spark = stream.sparkSession
+    if not (isinstance(model, SavedModel) and model.lookups):
+        run_available(score(stream, model), out, checkpoint)
+        return spark.read.parquet(out)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        score_with_lookup(batch, model).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).drop("batch")
 
 
 def health_windows(df: DataFrame, ts: str, size: str, is_error, value: str, watermark: str | None = None,

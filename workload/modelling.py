@@ -186,7 +186,7 @@ FROM s GROUP BY o_orderkey""")
 def gaussian_bayes(spark, d):
     orders = table(spark, d, "orders").select(
         "o_orderkey", "o_totalprice", "o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
-    model = train._fit(orders, Prep(["o_totalprice", "o_custkey"], remainder="pass"), train.BASELINES["gaussian_bayes"](), "y")
+    model = train.fit_classifier(orders, Prep(["o_totalprice", "o_custkey"], remainder="pass"), train.BASELINES["gaussian_bayes"](), "y")
     return sc.score(orders, model).select("o_orderkey", "prediction")
 
 
