@@ -150,6 +150,16 @@ def gbt_score(spark, d):
     return rounded(sc.score(rows, train.load_model(spark, uri), probability="p"))
 
 
+@query("gbt_score_check", """
+SELECT l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_returnflag = 'R' AS INTEGER) AS y, true AS consistent FROM lineitem""")
+def gbt_score_check(spark, d):
+    """Every row is kept as it was, and the class is the one its probability says."""
+    rows = labelled_lines(spark, d)
+    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **SMALL_GBT), probability="p")
+    return scored.select(*FEATURES, "y", (F.col("p").between(0, 1) & (
+        F.col("prediction") == (F.col("p") > 0.5).cast("int"))).alias("consistent"))
+
+
 @query("gbt_importance")
 def gbt_importance(spark, d):
     model = train.fit_gbt(labelled_lines(spark, d), PREP, "y", **SMALL_GBT)
@@ -288,17 +298,14 @@ def score_batches(spark, d):
     return sc.score_batches(rows, sc.linear_predictor([1000.0, -1.0], 0.0, 500.0), ["l_quantity", "l_extendedprice"])
 
 
-@query("score_batches_trees")
+@query("score_batches_trees", "SELECT count(*) AS n, count(*) AS agree FROM lineitem")
 def score_batches_trees(spark, d):
     """A boosted-tree model exported to arrays and applied in Arrow batches, beside its own predictions."""
     rows = labelled_lines(spark, d)
     model = train.fit_gbt(rows, PREP, "y", **SMALL_GBT)
-    prepared = PipelineModel(model.stages[:-1]).transform(rows).select(*[f"{c}_prep" for c in FEATURES], "y")
-    own = model.transform(rows).groupBy("prediction").count().select(
-        F.lit("pipeline").alias("how"), F.col("prediction").cast("int").alias("prediction"), "count")
-    arrays = sc.tree_arrays(model.stages[-1])
-    batches = sc.score_batches(prepared, sc.tree_predictor(arrays), [f"{c}_prep" for c in FEATURES])
-    return own.unionByName(batches.groupBy("prediction").count().select(F.lit("batches").alias("how"), "prediction", "count"))
+    prepared = model.transform(rows).select(*[f"{c}_prep" for c in FEATURES], F.col("prediction").cast("int").alias("own"))
+    batches = sc.score_batches(prepared, sc.tree_predictor(sc.tree_arrays(model.stages[-1])), [f"{c}_prep" for c in FEATURES])
+    return batches.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("own") == F.col("prediction")).cast("long")).alias("agree"))
 
 
 WORDY = "words > 100 AND digits * 20 < chars"

@@ -59,9 +59,22 @@ def describe_by(spark, d):
     return rounded(profile.describe(lines(spark, d), MEASURES, ["l_returnflag"]), 7)
 
 
-@query("quick_summary")
+@query("quick_summary", f"""
+SELECT "column", count(*) AS count, CAST(0 AS BIGINT) AS missing, count(*) FILTER (value = 0) AS zeros, round(avg(value), 7) AS mean,
+  round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max, true AS median_inside,
+  count(*) AS histogram_rows, true AS distinct_close
+FROM ({LINES_LONG}) GROUP BY "column" """)
 def quick_summary(spark, d):
-    return rounded(profile.quick_summary(lines(spark, d), MEASURES))
+    """The exact parts as they are; the sketched ones by what must hold of them."""
+    s = profile.quick_summary(lines(spark, d), MEASURES)
+    exact = lines(spark, d).agg(*[F.count_distinct(c).alias(c) for c in MEASURES]).unpivot([], MEASURES, "column", "d")
+    s = s.join(exact, "column").select(
+        "column", "count", "missing", "zeros", r(F.col("mean"), 7).alias("mean"), r(F.col("std")).alias("std"), "min", "max",
+        F.col("median").between(F.col("min"), F.col("max")).alias("median_inside"),
+        F.round(F.aggregate(F.transform("histogram", lambda h: h["y"]), F.lit(0.0), lambda a, x: a + x)).cast("long").alias(
+            "histogram_rows"),
+        (F.abs(F.col("approx_distinct") - F.col("d")) <= F.col("d") * 0.25 + 1).alias("distinct_close"))
+    return s
 
 
 @query("profile_overview", """
@@ -113,9 +126,21 @@ def profile_columns_star(spark, d):
     return _rounded_profile(profile.profile_columns(materialise(star(spark, d), "star"), STAR_MEASURES), 6)
 
 
-@query("profile_columns_approx")
+@query("profile_columns_approx", f"""
+SELECT "column", count(*) AS count, count(*) FILTER (value = 0) AS zeros, round(avg(value), 7) AS mean, min(value) AS min,
+  max(value) AS max, round(stddev_samp(value), 4) AS std, round(skewness(value), 4) AS skewness,
+  round(kurtosis(value), 4) AS kurtosis, true AS median_close
+FROM ({LINES_LONG}) GROUP BY "column" """)
 def profile_columns_approx(spark, d):
-    return _rounded_profile(profile.profile_columns(lines(spark, d), MEASURES, exact=False), 7)
+    """Sketched profile: the exact statistics, and whether the sketched median has a rank near one half."""
+    p = profile.profile_columns(lines(spark, d), MEASURES, exact=False)
+    medians = {x["column"]: x["median"] for x in p.select("column", "median").collect()}
+    ranks = lines(spark, d).agg(*[
+        ((F.sum((F.col(c) < medians[c]).cast("long")) <= F.count(c) * 0.5005)
+         & (F.sum((F.col(c) <= medians[c]).cast("long")) >= F.count(c) * 0.4995)).alias(c) for c in MEASURES])
+    return rounded(rounded(p.join(ranks.unpivot([], MEASURES, "column", "median_close"), "column").select(
+        "column", "count", "zeros", "mean", "min", "max", "std", "skewness", "kurtosis", "median_close"),
+        7, ("mean",)), 4, ("std", "skewness", "kurtosis"))
 
 
 @query("monotone", """

@@ -85,7 +85,12 @@ def health_windows(spark, d):
     return _plain_times(out.drop("p50", "p95"))
 
 
-@query("health_windows_quantiles")
+@query("health_windows_quantiles", """
+SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+  CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end, count(*) AS requests,
+  count(*) FILTER (event_type = 'error') AS errors, CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END AS error_rate,
+  quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95
+FROM events GROUP BY 1, 2""")
 def health_windows_quantiles(spark, d):
     out = ingest.health_windows(table(spark, d, "events"), "ts", "1 day", F.col("event_type") == "error", "value",
                                 by=["event_type"])
