@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.columns import number
 from tabulon.operators.profile import bin_edges, bin_index
+from tabulon.operators.quantiles import cells_of
 from tabulon.plans.ordered import running
 from tabulon.plans.shared import materialise
 from tabulon.plans.skew import keyed_left_join
@@ -23,36 +24,50 @@ def corr_matrix(df: DataFrame, cols, method: str = "pearson", lower: bool = Fals
     """
     cols = list(cols)
     index = {c: i for i, c in enumerate(cols)}
-    if method == "pearson":
-        half, diagonal = _pearson(df, cols)
-    else:
-        half = {"spearman": _spearman, "kendall": _kendall, "cramers_v": _cramers_v}[method](df, cols, bins)
-        diagonal = None
+    methods = {"pearson": _pearson, "spearman": _spearman, "kendall": _kendall, "cramers_v": _cramers_v}
+    half = methods[method](df, cols, bins)
     later = F.coalesce(*[F.when(F.col("y") == c, F.lit(i)) for c, i in index.items()]) > F.coalesce(
         *[F.when(F.col("x") == c, F.lit(i)) for c, i in index.items()])
     if lower:
         return half.select(F.when(later, F.col("y")).otherwise(F.col("x")).alias("x"),
                            F.when(later, F.col("x")).otherwise(F.col("y")).alias("y"), "r")
-    if diagonal is None:
-        spread = df.agg(*[F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.when(
-            F.min(number(c)) < F.max(number(c)), F.lit(1.0)).alias("r")).alias(f"d{i}") for c, i in index.items()])
-        diagonal = spread.select(F.inline(F.array(*[f"d{i}" for i in range(len(cols))])))
+    diagonal = cells_of(df, cols).groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).select(
+        F.col("column").alias("x"), F.col("column").alias("y"), F.when(F.col("lo") < F.col("hi"), F.lit(1.0)).alias("r"))
     both = F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
     return half.select(F.inline(both)).unionByName(diagonal)
 
 
-def _pearson(df, cols):
+def _value_pairs(nums, pairs):
+    """(pair, x, y): one row per column pair and row with both values; pair is the pair's number."""
+    packed = nums.select(*[F.struct(F.col(a).alias("x"), F.col(b).alias("y")).alias(str(i))
+                           for i, (a, b) in enumerate(pairs)])
+    long = packed.unpivot([], [str(i) for i in range(len(pairs))], "pair", "v")
+    return long.select(F.col("pair").cast("int").alias("pair"), "v.x", "v.y").filter(
+        F.col("x").isNotNull() & F.col("y").isNotNull())
+
+
+_WIDE_PAIRS = 64
+
+
+def _pearson(df, cols, bins):
+    """One scan either way: few pairs as one wide aggregate, many grouped by pair number, so the
+    generated code does not grow with the square of the columns."""
     pairs = list(combinations(cols, 2))
     nums = df.select(*[number(c).alias(c) for c in cols])
-    # not corr(): on a constant column it divides by zero, an error under ANSI
-    r = [F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))) for a, b in pairs]
-    wide = nums.agg(
-        F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), e.alias("r"))
-                  for (a, b), e in zip(pairs, r)]).alias("pairs"),
-        F.array(*[F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
-                           F.when(F.min(c) < F.max(c), F.lit(1.0)).alias("r")) for c in cols]).alias("self"))
-    wide = materialise(wide)  # one row: both halves below come from one scan
-    return wide.select(F.inline("pairs")), wide.select(F.inline("self"))
+
+    def parts(x, y):
+        return F.regr_sxy(x, y), F.regr_sxx(x, y), F.regr_syy(x, y)
+
+    def r(xy, xx, yy):
+        # not corr(): on a constant column it divides by zero, an error under ANSI
+        return F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy))
+
+    if len(pairs) <= _WIDE_PAIRS:
+        return nums.agg(F.array(*[
+            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r(*parts(a, b)).alias("r"))
+            for a, b in pairs]).alias("all")).select(F.inline("all"))
+    sums = _value_pairs(nums, pairs).groupBy("pair").agg(*[e.alias(n) for n, e in zip(("xy", "xx", "yy"), parts("x", "y"))])
+    return _named(sums.select("pair", r(F.col("xy"), F.col("xx"), F.col("yy")).alias("r")), pairs)
 
 
 def _cells(df, cols, bins=None):
@@ -65,11 +80,7 @@ def _cells(df, cols, bins=None):
         nums = df.select(*[bin_index(number(c), *edges[c]).cast("double").alias(c) for c in cols])
     else:
         nums = df.select(*[number(c).alias(c) for c in cols])
-    exploded = nums.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for i, (a, b) in enumerate(pairs)])))
-    cells = (exploded.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-             .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("m")))
+    cells = _value_pairs(nums, pairs).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("m"))
     return materialise(cells), pairs
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import hash_int, hash_text, number, ratio
-from tabulon.operators.quantiles import exact_quantiles, join_same, long_form
+from tabulon.operators.quantiles import cells_of, exact_quantiles, join_same, long_form
 from tabulon.plans.ordered import ROW, SLICE, sorted_slices
 from tabulon.plans.shared import broadcast_if_small, materialise, settle
 
@@ -19,17 +19,9 @@ def zero_counts(df: DataFrame, cols) -> DataFrame:
                     for c in cols])
 
 
-def _per_column(df, cols, by, stats):
-    """One wide aggregate over all columns, returned as one row per column."""
-    wide = df.groupBy(*by).agg(*[
-        F.struct(*[e.alias(n) for n, e in stats(c).items()]).alias(f"s{i}") for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("s"))
-                     for i, c in enumerate(cols)])
-    return wide.select(*by, F.inline(rows)).select(*by, "column", "s.*")
-
-
-def _numbers(df, cols, by=()):
-    return df.select(*by, *[number(c).alias(c) for c in cols if c not in by])
+def _per_column(cells, by, stats):
+    """One row of statistics per column (and group)."""
+    return cells.groupBy(*by, "column").agg(*[e.alias(n) for n, e in stats("value").items()])
 
 
 def describe(df: DataFrame, cols, by=()) -> DataFrame:
@@ -43,7 +35,7 @@ def describe(df: DataFrame, cols, by=()) -> DataFrame:
 
 def quick_summary(df: DataFrame, cols, bins: int = 10) -> DataFrame:
     """One pass: counts, moments, approximate median and distinct count, small histogram."""
-    return _per_column(_numbers(df, cols), cols, [], lambda c: {
+    return _per_column(cells_of(df, cols), [], lambda c: {
         "count": F.count(c), "missing": F.sum(F.col(c).isNull().cast("long")),
         "zeros": F.sum((F.col(c) == 0).cast("long")), "mean": F.avg(c), "std": F.stddev_samp(c),
         "min": F.min(c), "median": F.percentile_approx(c, 0.5), "max": F.max(c),
@@ -97,7 +89,7 @@ def profile_columns(df: DataFrame, cols, key: str | None = None, exact: bool = T
     if exact:
         first = exact_quantiles(df, cols, probs, also=_counts)
     else:
-        first = _per_column(_numbers(df, cols), cols, [], lambda c: {
+        first = _per_column(cells_of(df, cols), [], lambda c: {
             **_counts(c), "q": F.percentile_approx(c, probs, 10_000), "distinct": F.approx_count_distinct(c)})
         first = first.select("*", *[F.element_at("q", j + 1).alias(f"q{j}") for j in range(5)]).drop("q")
     base, rows = settle(first, bounded=True)  # one row per column
@@ -108,7 +100,7 @@ def profile_columns(df: DataFrame, cols, key: str | None = None, exact: bool = T
         return df.select(*[(number(c) - F.lit(centre[c]).cast("double")).alias(c) for c in cols])
 
     if exact:
-        spread = _per_column(off(mean), cols, [], lambda c: _central(F.col(c)))
+        spread = _per_column(cells_of(off(mean), cols), [], lambda c: _central(F.col(c)))
         distance = off(median).select(*[F.abs(c).alias(c) for c in cols])
         mad = exact_quantiles(distance, cols, [0.5]).select("column", F.col("q0").alias("mad"))
         distinct = long_form(df, cols).groupBy("column").agg(F.count_distinct("value").alias("distinct"))
@@ -117,8 +109,8 @@ def profile_columns(df: DataFrame, cols, key: str | None = None, exact: bool = T
     else:
         both = df.select(*[F.struct((number(c) - F.lit(mean[c]).cast("double")).alias("d"),
                                     F.abs(number(c) - F.lit(median[c]).cast("double")).alias("a")).alias(c) for c in cols])
-        second = _per_column(both, cols, [], lambda c: {
-            **_central(F.col(f"`{c}`.d")), "mad": F.percentile_approx(F.col(f"`{c}`.a"), 0.5, 10_000)})
+        second = _per_column(both.unpivot([], cols, "column", "value"), [], lambda c: {
+            **_central(F.col(f"{c}.d")), "mad": F.percentile_approx(F.col(f"{c}.a"), 0.5, 10_000)})
     out = base.join(second, "column")
     n, m2 = F.col("count").cast("double"), F.col("m2")
     spread_out = m2 > 0
@@ -183,7 +175,7 @@ def bin_edges(df: DataFrame, cols, bins="auto", quartiles: DataFrame | None = No
     "auto" takes the larger of Sturges' and Freedman-Diaconis' counts.
     """
     cols = list(cols)
-    limits = _per_column(_numbers(df, cols), cols, [], lambda c: {
+    limits = _per_column(cells_of(df, cols), [], lambda c: {
         "n": F.count(c), "lo": F.min(c), "hi": F.max(c)})
     stats = {r["column"]: r for r in limits.collect()}
     iqr = {}
@@ -311,7 +303,7 @@ def flag_outliers(df: DataFrame, cols, rule: str = "iqr", by=None, k: float | No
                           (F.col("q1") + k * (F.col("q1") - F.col("q0"))).alias("hi"))
     else:
         k = 3.0 if k is None else k
-        limits = _per_column(_numbers(df, cols, by_cols), cols, by_cols, lambda c: {
+        limits = _per_column(cells_of(df, cols, by_cols), by_cols, lambda c: {
             "lo": F.avg(c) - k * F.stddev_samp(c), "hi": F.avg(c) + k * F.stddev_samp(c)})
     if by:
         wide = limits.groupBy(*by_cols).agg(*[
@@ -335,9 +327,9 @@ def flag_outliers(df: DataFrame, cols, rule: str = "iqr", by=None, k: float | No
 
 def missing_report(df: DataFrame, cols) -> DataFrame:
     """(column, missing, missing_pct)."""
-    return _per_column(df, list(cols), [], lambda c: {
-        "missing": F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)),
-        "missing_pct": ratio(F.sum(F.col(c).isNull().cast("long")) * 100, F.count(F.lit(1)))})
+    gone = df.select(*[F.col(c).isNull().cast("long").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    return _per_column(gone, [], lambda c: {
+        "missing": F.sum(c), "missing_pct": ratio(F.sum(c) * 100, F.count(F.lit(1)))})
 
 
 def joint_hist(df: DataFrame, x: str, y: str, bins: int = 10, by: str | None = None) -> DataFrame:

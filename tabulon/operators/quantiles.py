@@ -19,38 +19,38 @@ from tabulon.plans.shared import settle
 ACCURACY = 10_000
 
 
+def cells_of(df: DataFrame, cols, by=()) -> DataFrame:
+    """(by..., column, value): one row per cell, missing ones included.
+
+    Statistics of many columns are grouped by ``column`` over this form: the generated code stays
+    the same size however wide the table is, and map-side combining leaves one row per column.
+    """
+    return df.select(*by, *[number(c).alias(c) for c in cols]).unpivot(list(by), list(cols), "column", "value")
+
+
 def long_form(df: DataFrame, cols, by=()) -> DataFrame:
-    """(by..., column, value): one row per non-missing cell."""
-    return (
-        df.select(*by, *[number(c).alias(c) for c in cols])
-        .unpivot(list(by), list(cols), "column", "value")
-        .filter(F.col("value").isNotNull())
-    )
+    """``cells_of`` without the missing cells."""
+    return cells_of(df, cols, by).filter(F.col("value").isNotNull())
 
 
 def _brackets(df, cols, probs, by, accuracy, also):
     margin = 3.0 / accuracy
     ends = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
-    sketch = df.select(*by, *[number(c).alias(c) for c in cols]).groupBy(*by).agg(*[
-        F.struct(
-            F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-            F.percentile_approx(c, ends, accuracy).alias("b"),
-            *[e.alias(n) for n, e in also(c).items()]).alias(f"s{i}")
-        for i, c in enumerate(cols)])
     k = len(probs)
-    per_column = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("s")) for i, c in enumerate(cols)])
-    flat = sketch.select(*by, F.inline(per_column)).select(*by, "column", "s.*")
-    return flat.select(
+    sketch = cells_of(df, cols, by).groupBy(*by, "column").agg(
+        F.count("value").alias("n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
+        F.percentile_approx("value", ends, accuracy).alias("_b"), *[e.alias(n) for n, e in also("value").items()])
+    return sketch.select(
         *by, "column", "n",
-        *[(F.col("lo") if ends[j] <= 0 else F.element_at("b", j + 1)).alias(f"lo{j}") for j in range(k)],
-        *[(F.col("hi") if ends[k + j] >= 1 else F.element_at("b", k + j + 1)).alias(f"hi{j}") for j in range(k)],
-        *also(cols[0]))
+        *[(F.col("_lo") if ends[j] <= 0 else F.element_at("_b", j + 1)).alias(f"lo{j}") for j in range(k)],
+        *[(F.col("_hi") if ends[k + j] >= 1 else F.element_at("_b", k + j + 1)).alias(f"hi{j}") for j in range(k)],
+        *also("value"))
 
 
 def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY, also=lambda c: {}) -> DataFrame:
     """(by..., column, n, q0, q1, ..., also...): linearly interpolated quantiles of the non-missing values.
 
-    ``also`` gives further aggregates of a column, {name: expression}, taken in the sketch pass.
+    ``also`` maps a column to further aggregates of it, {name: expression}, taken in the sketch pass.
     The frame is read twice: hand in a stored table, or ``materialise`` a costly one first.
     """
     cols, by, probs = list(cols), list(by), sorted(probs)
@@ -70,7 +70,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY,
             missed = F.array_contains(F.transform(F.array(*[f"q{j}" for j in range(len(probs))]), F.isnull), True)
             if result.filter(missed & (F.col("n") > 0)).isEmpty():
                 break
-    more = list(also(cols[0]))
+    more = list(also("value"))
     if not more:
         return result
     return join_same(result, brackets_side.select(*by, "column", *more), [*by, "column"])

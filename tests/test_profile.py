@@ -132,10 +132,12 @@ def test_kde(df, pdf):
         assert density == pytest.approx(want)
 
 
-@pytest.mark.parametrize("window_rows", [0, 1_000_000])
+@pytest.mark.parametrize("big", [True, False])
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_correlations(df, pdf, method, window_rows, monkeypatch):
-    monkeypatch.setattr(ordered, "WINDOW_ROWS", window_rows)
+def test_correlations(df, pdf, method, big, monkeypatch):
+    if big:
+        monkeypatch.setattr(ordered, "WINDOW_ROWS", 0)
+        monkeypatch.setattr(corr, "_WIDE_PAIRS", 0)
     want = pdf[["x", "y", "z"]].astype(float).corr() if method == "pearson" else None
     got = {(r["x"], r["y"]): r["r"] for r in corr.corr_matrix(df, ["x", "y", "z"], method).collect()}
     assert len(got) == 9
