@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import hash_text
-from tabulon.plans.shared import materialise
+from tabulon.plans.shared import materialise, settle
 
 _DIGITS = 5  # 16^5 prefixes per class
 _MAX_CLASSES = 10_000
@@ -67,6 +67,8 @@ def _with_cut_number(df, prefixes, key, label, seed, ranks, name):
         return df.withColumn(name, F.lit(0))
     cuts = _cuts(df, prefixes, key, label, seed, ranks).groupBy("_class").agg(
         F.collect_list(F.struct(F.col("_cut_h").alias("h"), F.col("_cut_key").alias("k"))).alias("_at"))
+    # settled, so that reading train and test later does not look for the cuts again
+    cuts, _ = settle(cuts, bounded=True)  # one row per class
     row = F.struct(hash_text(key, F.lit(str(seed))).alias("h"), F.col(key).alias("k"))
     joined = df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")), "left")  # one row per class
     passed = F.size(F.filter(F.coalesce("_at", F.array()), lambda c: c < row))
