@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    session = (SparkSession.builder.master("local[4]").appName("tabulon-tests")
+    session = (SparkSession.builder.master("local[8]").appName("tabulon-tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g")
                .config("spark.sql.session.timeZone", "UTC")
