@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulon.llm import near_dedup, repeats
+from tabulon.llm import decontaminate, line_dedup, near_dedup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +32,30 @@ _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = ("translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
+@_query("op3_line_similarity", """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, p, ls[p + 1] AS t FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS p FROM d)),
+s AS (SELECT doc_id, p, t, list_sort(list_distinct(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))) AS g FROM l),
+c AS (SELECT g, len(g) AS n, min((doc_id, p)) AS f FROM s WHERE len(g) > 0 GROUP BY g),
+tok AS (SELECT f, n, unnest(g) AS x FROM c),
+fr AS (SELECT x, count(*) AS k FROM tok GROUP BY x),
+o AS (SELECT f, n, tok.x, row_number() OVER (PARTITION BY f ORDER BY k, tok.x) AS r FROM tok JOIN fr USING (x)),
+pre AS (SELECT f, n, x FROM o WHERE r <= n - ceil(n * 80 / 100.0) + 1),
+cand AS (SELECT DISTINCT a.f AS a, b.f AS b FROM pre a JOIN pre b
+  ON a.x = b.x AND a.f < b.f AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n),
+late AS (SELECT DISTINCT b.f AS f FROM cand JOIN c a ON a.f = cand.a JOIN c b ON b.f = cand.b
+  WHERE 100 * len(list_intersect(a.g, b.g)) >= 80 * (a.n + b.n - len(list_intersect(a.g, b.g)))),
+gone AS (SELECT s.doc_id, s.p, s.t, len(s.g) > 0 AND ((s.doc_id, s.p) <> c.f OR late.f IS NOT NULL) AS out
+  FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN late ON late.f = c.f),
+kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE out) AS n_removed,
+  string_agg(t, chr(10) ORDER BY p) FILTER (WHERE NOT coalesce(out, false)) AS k FROM gone GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)""")
+def line_similarity(spark, d):
+    return line_dedup.drop_later_lines(_table(spark, d, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @_query("op4_relative_parsing", f"""
 WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 49, 0))) AS p, w FROM d),
@@ -67,3 +92,27 @@ FROM s LEFT JOIN r ON list_sort(s.g) = r.g LEFT JOIN top ON top.id = r.id""")
 def coordinate_join(spark, d):
     return near_dedup.near_duplicates(_table(spark, d, "documents"), k=4).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+_ITEM_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@_query("op10_window_containment", f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
+i AS (SELECT item_id, {_ITEM_WORDS.format(_LOWER.format('text'))} AS w FROM benchmark),
+j AS (SELECT item_id, w, least(13, len(w)) AS z FROM i WHERE len(w) > 0 AND item_id IS NOT NULL),
+iw AS (SELECT item_id, z, array_to_string(w[p + 1:p + z], ' ') AS k
+  FROM (SELECT item_id, w, z, unnest(range(0, len(w) - z + 1)) AS p FROM j)),
+dw AS (SELECT doc_id, p, z, array_to_string(w[p + 1:p + z], ' ') AS k FROM (
+  SELECT doc_id, w, z, unnest(range(0, greatest(len(w) - z + 1, 0))) AS p FROM d, (SELECT DISTINCT z FROM iw))),
+m AS (SELECT DISTINCT doc_id, p, z, item_id FROM dw JOIN iw USING (z, k)),
+h AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + z)) AS q FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+  sha256(coalesce(t.s, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def window_containment(spark, d):
+    found = decontaminate.contamination(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
