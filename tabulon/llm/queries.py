@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import decontaminate, line_dedup, near_dedup, repeats
+from tabulon.llm import decontaminate, line_dedup, near_dedup, packing, repeats, rules, warc
+from tabulon.plans.shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +33,12 @@ _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = ("translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
+@_query("op2_decision_list")
+def decision_list(spark, d):
+    return rules.judge(_table(spark, d, "documents"), _table(spark, d, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 @_query("op3_line_similarity", """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, p, ls[p + 1] AS t FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS p FROM d)),
@@ -73,6 +80,31 @@ def relative_parsing(spark, d):
     return repeats.cut_repeats(_table(spark, d, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of ``packing.pack`` with the CRC-32 of their ids in place of the ids."""
+    return packing.pack(docs, tokenizer_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier",
+        "step")
+
+
+@_query("op6_tiered_packing")
+def tiered_packing(spark, d):
+    return packed(_table(spark, d, "documents"))
+
+
+@_query("op7_chunked_records")
+def chunked_records(spark, d):
+    path = scratch(spark, "archive")
+    warc.write_archive(_table(spark, d, "pages"), path)
+    return warc.read_archive(spark, path)
+
+
 @_query("op8_coordinate_join", f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
