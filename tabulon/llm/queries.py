@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import decontaminate, line_dedup, near_dedup, packing, repeats, rules, warc
+from tabulon.llm import (decontaminate, line_dedup, near_dedup, ordinal, packing, repeats, rules, secrets, toxicity,
+                         warc)
 from tabulon.plans.shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,14 @@ _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = ("translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
+@_query("op1_ordinal_grades")
+def ordinal_grades(spark, d):
+    docs, labels = _table(spark, d, "documents"), _table(spark, d, "labels")
+    # three grades: junk, toxic prose, prose
+    ratings = labels.select("doc_id", F.expr("quality * (2 - toxic)").alias("grade"))
+    return ordinal.grade(docs, ordinal.fit_ordinal(docs, ratings))
+
+
 @_query("op2_decision_list")
 def decision_list(spark, d):
     return rules.judge(_table(spark, d, "documents"), _table(spark, d, "labels")).select(
@@ -80,6 +89,14 @@ def relative_parsing(spark, d):
     return repeats.cut_repeats(_table(spark, d, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@_query("op5_inferred_formats")
+def inferred_formats(spark, d):
+    found = secrets.scan(_table(spark, d, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secrets.joined("base"), 256).alias("base_sha256"),
+                        secrets.joined("spans").alias("spans"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -126,6 +143,11 @@ def coordinate_join(spark, d):
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+@_query("op9_lexicon_automata")
+def lexicon_automata(spark, d):
+    return toxicity.score(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 _ITEM_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
