@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm import decontaminate, line_dedup, near_dedup, queries, rules
+from tabulon.llm.words import free_name
 from tabulon.plans.shared import materialise
 
 
@@ -15,8 +16,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The documents whose doc_id is not in ``gone``; rows without a doc_id stay."""
-    gone = gone.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    own = free_name("gone_id", docs.columns)
+    return docs.join(gone.select(F.col("doc_id").alias(own)).distinct(), docs.doc_id == F.col(own), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

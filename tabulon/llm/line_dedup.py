@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tabulon.llm.words import free_name
 from tabulon.plans.shared import broadcast_if_small, materialise
 
 # Word counts are kept by hash in a table of this size, whatever the corpus; it only sets the order of words.
@@ -14,6 +15,7 @@ COUNTS = 1 << 20
 FIRST_WORDS = 3
 # Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
 IDS_BROADCAST = 1_000_000
+_ADDED = ("n_lines", "n_removed")
 _SPACE = "[\\t-\\r ]+"
 
 
@@ -136,15 +138,17 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
 def drop_later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """The documents with their later similar lines (``later_lines``) cut out, and ``n_lines``, ``n_removed``.
 
-    The text keeps its other lines, joined by line feeds; a null text stays null, with no lines.
+    The text keeps its other lines, joined by line feeds; a null text stays null, with no lines.  Columns that
+    have the names of the two counts are replaced.
     """
-    gone = materialise(later_lines(docs, id_col, text, percent), "gone").groupBy("doc_id").agg(
-        F.collect_list("line").alias("gone_lines")).withColumnRenamed("doc_id", "gone_id")
     names = docs.columns
-    rows = docs.join(gone, F.col(f"`{id_col}`") == F.col("gone_id"), "left")
+    own, cut = free_name("later_id", names), free_name("later_lines", names)
+    gone = materialise(later_lines(docs, id_col, text, percent), "gone").groupBy("doc_id").agg(
+        F.collect_list("line").alias(cut)).withColumnRenamed("doc_id", own)
+    rows = docs.join(gone, docs[f"`{id_col}`"] == F.col(own), "left")
     lines = F.split(F.col(f"`{text}`"), "\n")
-    kept = F.when(F.col("gone_id").isNull(), F.col(f"`{text}`")).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone_lines", i)), "\n"))
-    return rows.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in names],
-                       F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-                       F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long").alias("n_removed"))
+    kept = F.when(F.col(own).isNull(), F.col(f"`{text}`")).otherwise(
+        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(cut, i)), "\n"))
+    counts = [F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size(cut), F.lit(0))]
+    return rows.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in names if c not in _ADDED],
+                       *[c.cast("long").alias(name) for c, name in zip(counts, _ADDED)])

@@ -71,6 +71,14 @@ class Rolling:
         return mix(raw + np.uint64(k))
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it, whatever the case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def per_batch(df: DataFrame, text: str, keep: list[str], fn: Callable[[list, list], dict], schema: str) -> DataFrame:
     """Run ``fn(kept columns as lists, texts as UTF-8 bytes) -> columns`` over Arrow batches.
 
