@@ -134,7 +134,7 @@ class Formats:
         self.kinds = [Grammar(x[::2]) for x in examples.values()]
         self.others = Grammar(sorted(others)) if others else None
         held = sorted(self.score(x) for xs in examples.values() for x in xs[1::2])
-        self.least = max(0.5, held[len(held) // 20]) if held else math.inf
+        self.least = max(0.2, held[len(held) // 20]) if held else math.inf
 
     def score(self, text: str) -> float:
         """By how much the best kind's mean log-likelihood is above that of other strings."""
