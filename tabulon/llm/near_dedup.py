@@ -15,16 +15,14 @@ from tabulon.plans.shared import broadcast_if_small, materialise
 
 COORDINATES = 16
 MATCHES = 4
-# Further coordinates, kept by four bits each, compared before a pair leaves the join.  Two sets of Jaccard 0.8
-# agree in 104 of 128 on average, by chance in fewer than 80 once in ten million.
-CHECKS = 128
-CHECK_MATCHES = 80
-# Rounds that link documents with the leaders of their lists before all remaining pairs are compared.
-STAR_ROUNDS = 3
+# Further coordinates, kept by one bit each, compared before a pair leaves the join.  Two sets of Jaccard 0.8
+# differ in 38 of 384 on average, by chance in more than 70 less than once in a million.
+CHECKS = 384
+CHECK_DIFFERENCES = 70
 # Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
 IDS_BROADCAST = 1_000_000
 _POSTED = [f"s{i}" for i in range(COORDINATES)]
-_CHECKED = [f"c{i}" for i in range(CHECKS // 16)]
+_CHECKED = [f"c{i}" for i in range(CHECKS // 64)]
 
 
 def shingles(text: bytes | None, k: int, codes: Codes) -> np.ndarray:
@@ -48,7 +46,6 @@ def _least(found: np.ndarray, odd: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
     """(doc_id, n, set_id, s0.., c0..): size and 128-bit name of the shingle set, posted and checked coordinates."""
     odd = mix(np.arange(1, COORDINATES + CHECKS + 1, dtype=np.uint64)) | np.uint64(1)
-    shifts = np.arange(0, 64, 4, dtype=np.uint64)
 
     def run(kept, texts):
         codes = run.codes = getattr(run, "codes", None) or Codes()
@@ -62,8 +59,8 @@ def signatures(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             if len(found):
                 least = _least(found, odd)
                 posted[row] = (least[:COORDINATES] >> np.uint64(16)).astype(np.uint32).view(np.int32)
-                four = ((least[COORDINATES:] >> np.uint64(24)) & np.uint64(15)).reshape(-1, 16)
-                checked[row] = (four << shifts).sum(axis=1, dtype=np.uint64)
+                bits = ((least[COORDINATES:] >> np.uint64(24)) & np.uint64(1)).astype(np.uint8)
+                checked[row] = np.packbits(bits, bitorder="little").view(np.uint64)
         return {"doc_id": kept[0], "n": pa.array(sizes, pa.int64()), "set_id": pa.array(ids, pa.binary()),
                 **{c: pa.array(posted[:, i]) for i, c in enumerate(_POSTED)},
                 **{c: pa.array(checked[:, i].view(np.int64)) for i, c in enumerate(_CHECKED)}}
@@ -107,7 +104,9 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text: str, k: int,
 
 
 def _postings(reps: DataFrame) -> DataFrame:
-    """(coordinate, value, id): of each document's postings the rarest 16 - 4 + 1 that others share.
+    """(coordinate, value, id, weight): of each document's postings the rarest 16 - 4 + 1 that others share.
+
+    ``weight`` adds up how many documents share each coordinate; the text that others are copies of has most.
 
     Two signatures that agree in four coordinates share one of those, whatever the order; rarest first keeps
     the lists short and skips the lists of boiler-plate.  Values that occur once use up places and join nothing.
@@ -118,32 +117,39 @@ def _postings(reps: DataFrame) -> DataFrame:
     shared = rows.join(lists, ["coordinate", "value"])
     of_doc = W.partitionBy("id", "own")
     return (shared.withColumn("shared", F.count("*").over(of_doc))
+            .withColumn("weight", F.sum("held").over(of_doc))
             .withColumn("place", F.row_number().over(of_doc.orderBy("held", "coordinate", "value")))
             .filter(F.col("place") + (COORDINATES - F.col("shared")) <= COORDINATES - MATCHES + 1)
-            .select("coordinate", "value", "id"))
+            .select("coordinate", "value", "id", "weight"))
+
+
+def _differences(left: str, right: str) -> str:
+    """In how many checked coordinates the bits differ."""
+    return "+".join(f"bit_count({left}{c} ^ {right}{c})" for c in _CHECKED)
 
 
 def _alike(left: str, right: str, percent: int) -> F.Column:
     """Sizes within the bound, and enough posted and checked coordinates in common."""
     same = "+".join(f"int({left}{c} = {right}{c})" for c in _POSTED)
-    differ = [f"({left}{c} ^ {right}{c})" for c in _CHECKED]
-    folded = [f"bit_count(~({x} | shiftright({x}, 1) | shiftright({x}, 2) | shiftright({x}, 3)) "
-              "& 1229782938247303441)" for x in differ]
     return F.expr(f"100 * {left}n >= {percent} * {right}n and 100 * {right}n >= {percent} * {left}n "
-                  f"and {same} >= {MATCHES} and {'+'.join(folded)} >= {CHECK_MATCHES}")
+                  f"and {same} >= {MATCHES} and {_differences(left, right)} <= {CHECK_DIFFERENCES}")
 
 
-def _leader_pairs(facts: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each document with one leader of another component, of the lists it shares with leaders alike."""
+def _leader_pairs(facts: DataFrame, placed: DataFrame, percent: int, leader: str) -> DataFrame:
+    """(a, b): each document with the leader most like it, of the lists it shares with other components.
+
+    A list's leader is its document with the greatest ``leader``.
+    """
     leaders = placed.groupBy("coordinate", "value").agg(
         F.min("component").alias("x"), F.max("component").alias("y"),
-        F.min_by("id", "component").alias("a")).filter("x < y").select("coordinate", "value", "x", "a")
+        F.max_by(F.struct("id", "component"), F.expr(leader)).alias("lead")).filter("x < y").select(
+            "coordinate", "value", F.col("lead.id").alias("a"), F.col("lead.component").alias("x"))
     pairs = (placed.join(leaders, ["coordinate", "value"]).filter("component <> x")
              .select("a", F.col("id").alias("b")).distinct())
     pairs = (pairs.join(facts.select(*[F.col(c).alias(f"l_{c}") for c in facts.columns]), F.col("a") == F.col("l_id"))
              .join(facts.select(*[F.col(c).alias(f"r_{c}") for c in facts.columns]), F.col("b") == F.col("r_id"))
-             .filter(_alike("l_", "r_", percent)))
-    return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+             .filter(_alike("l_", "r_", percent)).select("a", "b", F.expr(_differences("l_", "r_")).alias("apart")))
+    return pairs.groupBy("b").agg(F.expr("min_by(a, struct(apart, a))").alias("a")).select("a", "b")
 
 
 def _with_component(rows: DataFrame, place: DataFrame | None) -> DataFrame:
@@ -169,11 +175,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): groups of documents linked by shingle sets of Jaccard >= percent.
 
-    Equal sets are one class.  Each class posts under its signature coordinates.  In a few rounds, classes that
+    Equal sets are one class.  Each class posts under its signature coordinates.  In two rounds, classes that
     share a list with a leader of another component are compared with it, which joins large groups without pairs
-    inside them.  Then all pairs of a list from different components that agree in at least 4 of 16 posted and
-    80 of 128 checked coordinates are compared, so no pair that could join two components is left out; two sets
-    of Jaccard 0.8 agree in fewer with a chance of about 3e-7.  Links count only after
+    inside them.  Then all pairs of a list from different components that agree in at least 4 of 16 posted
+    coordinates and differ in at most 70 of 384 checked bits are compared, so no pair that could join two components
+    is left out; two sets of Jaccard 0.8 fail this with a chance below one in a million.  Links count only after
     100 * intersection >= percent * union on the full sets.
 
     Null and empty texts have no shingles, link with nothing and are kept, and so are rows without a doc_id; a
@@ -190,21 +196,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     facts = reps.select("id", "n", *_POSTED, *_CHECKED)
 
     place = None
-    for _ in range(STAR_ROUNDS):
-        pairs = materialise(_leader_pairs(facts, _with_component(postings, place), percent), "pairs")
+    for leader in ("struct(weight, -id)", "-component"):
+        pairs = materialise(_leader_pairs(facts, _with_component(postings, place), percent, leader), "pairs")
         links = materialise(_confirm(pairs, docs, "doc_id", "text", k, percent), "links")
         if links.isEmpty():
             break
         place = _merge(links, place)
 
+    # a bit for each coordinate that a document posts: a pair is compared under the first that both post and share
+    bits = postings.groupBy("id").agg(F.expr("bit_or(shiftleft(1, coordinate))").alias("bits"))
     placed = _with_component(postings, place)
     mixed = placed.groupBy("coordinate", "value").agg(
         F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("coordinate", "value")
-    open_ = materialise(placed.join(mixed, ["coordinate", "value"]).join(facts, "id"), "open")
-    sides = [open_.select("coordinate", "value", *[F.col(c).alias(f"{p}_{c}") for c in ["component", *facts.columns]])
-             for p in "lr"]
+    open_ = materialise(placed.drop("weight").join(mixed, ["coordinate", "value"]).join(facts, "id").join(bits, "id"),
+                        "open")
+    sides = [open_.select("coordinate", "value", *[
+        F.col(c).alias(f"{p}_{c}") for c in ["component", "bits", *facts.columns]]) for p in "lr"]
+    both = "|".join(f"if(l_{c} = r_{c}, {1 << i}, 0)" for i, c in enumerate(_POSTED))
+    once = F.expr(f"(shiftleft(1, coordinate) - 1) & l_bits & r_bits & ({both}) = 0")
     rest = (sides[0].join(sides[1], ["coordinate", "value"])
-            .filter((F.col("l_component") < F.col("r_component")) & _alike("l_", "r_", percent))
+            .filter((F.col("l_component") < F.col("r_component")) & _alike("l_", "r_", percent) & once)
             .select(F.col("l_id").alias("a"), F.col("r_id").alias("b")).distinct())
     links = materialise(_confirm(materialise(rest, "rest"), docs, "doc_id", "text", k, percent), "links")
     if not links.isEmpty():

@@ -132,14 +132,20 @@ class Formats:
     def __init__(self, examples: dict[str, list[str]], others: list[str]):
         examples = {k: sorted(x) for k, x in sorted(examples.items()) if len(x) >= 20}
         self.kinds = [Grammar(x[::2]) for x in examples.values()]
-        self.others = Grammar(sorted(others)) if others else None
-        held = sorted(self.score(x) for xs in examples.values() for x in xs[1::2])
+        # strings as likely as credentials under a kind's automaton may be some, and do not teach the other one
+        tests = [x for xs in examples.values() for x in xs[1::2]]
+        usual = sorted(self._best(x) for x in tests)
+        others = [x for x in sorted(others) if usual and self._best(x) < usual[len(usual) // 20]]
+        self.others = Grammar(others) if others else None
+        held = sorted(self.score(x) for x in tests)
         self.least = max(0.2, held[len(held) // 20]) if held else math.inf
 
+    def _best(self, text: str) -> float:
+        return max(g.per_symbol(text) for g in self.kinds)
+
     def score(self, text: str) -> float:
         """By how much the best kind's mean log-likelihood is above that of other strings."""
-        best = max(g.per_symbol(text) for g in self.kinds)
-        return best - (self.others.per_symbol(text) if self.others else -3.0)
+        return self._best(text) - (self.others.per_symbol(text) if self.others else -3.0)
 
 
 def _free(text: str, base) -> list[tuple[int, int]]:
