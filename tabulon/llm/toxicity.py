@@ -28,12 +28,12 @@ FEATURES = ["bias", "plain", "fuzzy", "quoted", "quoted_fuzzy", "near", "share"]
 class Automaton:
     """All words within the allowed edits of a lexicon: the trie and its Levenshtein automata, run together.
 
-    A state is the set of (trie node, edits so far) that the letters read can have led to; states and their
-    moves are built when first met.  Terms ending in ``*`` are stems, met exactly, whatever follows.  Terms of 5
+    A state is the set of (trie node, edits so far) that the letters read can have led to; states are numbered and
+    their moves built when first met.  Letters that no term has are all alike.  Terms ending in ``*`` are stems, met exactly, whatever follows.  Terms of 5
     letters allow one edit, of 9 or more two.
     """
 
-    MOVES = 1 << 18
+    STATES = 1 << 16
 
     def __init__(self, terms: list[str]):
         self.children, self.ends, self.stems, self.room = [{}], {}, set(), [0]
@@ -53,8 +53,25 @@ class Automaton:
                 self.stems.add(node)
             else:
                 self.ends[node] = edits
-        self.moves: dict = {}
-        self.start = self._closed({0: 0})
+        self.letters = {c for children in self.children for c in children}
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number, self.states, self.moves, self.result = {}, [], [], []
+        self._enter(self._closed({0: 0}))
+
+    def _enter(self, state: frozenset) -> int:
+        """The number of a state, -1 if it is empty; its result is -1 behind a stem, else the edits or None."""
+        if not state:
+            return -1
+        if state not in self.number:
+            self.number[state] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+            found = [e for n, e in state if n in self.ends and e <= self.ends[n]]
+            stem = any(n in self.stems and e == 0 for n, e in state)
+            self.result.append(-1 if stem else min(found) if found else None)
+        return self.number[state]
 
     def _closed(self, places: dict[int, int]):
         """Let letters of the lexicon be left out, as long as edits are allowed."""
@@ -83,20 +100,23 @@ class Automaton:
 
     def match(self, word: str) -> int | None:
         """Edits to the nearest term, 0 for a stem's words; None when no term is near enough."""
-        state = self.start
+        if len(self.states) > self.STATES:
+            self._reset()
+        at, moves, result = 0, self.moves, self.result
         for letter in word:
-            key = (state, letter)
-            if key not in self.moves:
-                if len(self.moves) >= self.MOVES:
-                    self.moves.clear()
-                self.moves[key] = self._move(state, letter)
-            state = self.moves[key]
-            if not state:
+            to = moves[at].get(letter)
+            if to is None:
+                known = letter if letter in self.letters else ""
+                to = moves[at].get(known)
+                if to is None:
+                    to = moves[at][known] = self._enter(self._move(self.states[at], known))
+                moves[at][letter] = to
+            if to < 0:
                 return None
-            if self.stems and any(n in self.stems and e == 0 for n, e in state):
+            at = to
+            if result[at] == -1:
                 return 0
-        found = [e for n, e in state if n in self.ends and e <= self.ends[n]]
-        return min(found) if found else None
+        return result[at]
 
 
 @dataclass
