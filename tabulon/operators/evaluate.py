@@ -12,13 +12,12 @@ from tabulon.plans.shared import materialise
 
 
 def confusion(df: DataFrame, label: str, pred: str, classes=(0, 1)) -> DataFrame:
-    """(actual, predicted, n) for every pair of classes, zero cells included."""
+    """(actual, predicted, n) for every pair of classes, zero cells included, and for any other pair that occurs."""
     counts = df.groupBy(F.col(label).cast("int").alias("actual"), F.col(pred).cast("int").alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
     grid = df.sparkSession.createDataFrame([(a, p) for a in classes for p in classes], "actual int, predicted int")
-    counts = F.broadcast(counts.filter(F.col("actual").isin(*classes) & F.col("predicted").isin(*classes)))
-    return grid.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return counts.unionByName(grid.withColumn("n", F.lit(0).cast("long"))).groupBy("actual", "predicted").agg(
+        F.sum("n").alias("n"))
 
 
 def _cells(label: str, pred: str):

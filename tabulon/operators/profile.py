@@ -201,39 +201,38 @@ def bin_edges(df: DataFrame, cols, bins="auto", quartiles: DataFrame | None = No
     return edges
 
 
-FULL_BINS = 100_000
-
-
 def bin_index(col, lo: float, hi: float, count: int):
     """0-based equal-width bin; the last bin is closed."""
     width = (hi - lo) / count
     return F.least(F.floor((col - F.lit(lo)) / F.lit(width)), F.lit(count - 1)).cast("long")
 
 
-def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame | None = None) -> DataFrame:
+def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame | None = None,
+              empty: bool = False) -> DataFrame:
     """(by, column, bin, left, right, n) with shared edges for all groups.
 
-    Empty bins are listed with n = 0 when there is no ``by`` and the column has at most
-    ``FULL_BINS`` bins (a far outlier can make "auto" ask for very many); otherwise left out."""
+    Bins that hold rows; with ``empty``, which takes no ``by``, all bins, n = 0 where there are none (a far
+    outlier can make "auto" ask for very many)."""
+    if empty and by:
+        raise ValueError("empty bins are listed for whole columns only")
     cols = list(cols)
     edges = bin_edges(df, cols, bins, quartiles)
     have = [c for c in cols if c in edges]
     spark = df.sparkSession
     by_cols = [by] if by else []
     if not have:
-        return spark.createDataFrame([], "column string, bin long, left double, right double, n long")
+        none = spark.createDataFrame([], "column string, bin long, left double, right double, n long")
+        return df.select(*by_cols).limit(0).crossJoin(none) if by else none
     binned = df.select(*by_cols, *[bin_index(number(c), *edges[c]).alias(c) for c in have])
     counts = (binned.unpivot(by_cols, have, "column", "bin").filter(F.col("bin").isNotNull())
               .groupBy(*by_cols, "column", "bin").agg(F.count(F.lit(1)).alias("n")))
     lo = F.coalesce(*[F.when(F.col("column") == c, F.lit(edges[c][0])) for c in have])
     width = F.coalesce(*[F.when(F.col("column") == c, F.lit((edges[c][1] - edges[c][0]) / edges[c][2])) for c in have])
-    full = [c for c in have if edges[c][2] <= FULL_BINS]
-    if not by and full:
-        grid = spark.range(1).select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.lit(edges[c][2]).cast("long").alias("count")) for c in full])).alias("g")).select(
-            "g.column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g.count") - 1)).alias("bin"))
-        counts = counts.unionByName(grid.withColumn("n", F.lit(0).cast("long"))).groupBy("column", "bin").agg(
-            F.sum("n").alias("n"))
+    for c in have if empty else ():
+        counts = counts.unionByName(spark.range(edges[c][2]).select(
+            F.lit(c).alias("column"), F.col("id").alias("bin"), F.lit(0).cast("long").alias("n")))
+    if empty:
+        counts = counts.groupBy("column", "bin").agg(F.sum("n").alias("n"))
     return counts.select(*by_cols, "column", "bin", (lo + F.col("bin") * width).alias("left"),
                          (lo + (F.col("bin") + 1) * width).alias("right"),
                          F.coalesce("n", F.lit(0)).cast("long").alias("n"))
@@ -336,6 +335,9 @@ def joint_hist(df: DataFrame, x: str, y: str, bins: int = 10, by: str | None = N
     """(by, bin_x, bin_y, n): two-dimensional bins, in place of raw scatter points."""
     edges = bin_edges(df, [x, y], bins)
     by_cols = [by] if by else []
+    if x not in edges or y not in edges:  # a column without a value has no bins
+        return df.select(*by_cols, F.lit(0).cast("long").alias("bin_x"), F.lit(0).cast("long").alias("bin_y"),
+                         F.lit(0).cast("long").alias("n")).limit(0)
     pairs = df.select(*by_cols, bin_index(number(x), *edges[x]).alias("bin_x"),
                       bin_index(number(y), *edges[y]).alias("bin_y"))
     return pairs.dropna(subset=["bin_x", "bin_y"]).groupBy(*by_cols, "bin_x", "bin_y").agg(

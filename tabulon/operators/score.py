@@ -119,6 +119,8 @@ def parse_requests(df: DataFrame, json_col: str, features) -> DataFrame:
     body = F.from_json(json_col, "dataframe_split struct<columns: array<string>, data: array<array<string>>>,"
                                  "inputs map<string, array<string>>")
     b = df.withColumn("_b", body)
+    # columns are placed by name, whatever their order in the body; looked up once per body
+    b = b.withColumn("_at", F.array(*[F.array_position("_b.dataframe_split.columns", f).cast("int") for f in features]))
     cols, data, inputs = F.col("_b.dataframe_split.columns"), F.col("_b.dataframe_split.data"), F.col("_b.inputs")
     split_ok = (cols.isNotNull() & data.isNotNull() & (F.size(F.array_distinct(cols)) == F.size(cols))
                 & F.forall(data, lambda r: F.coalesce(F.size(r) == F.size(cols), F.lit(False))))
@@ -130,15 +132,12 @@ def parse_requests(df: DataFrame, json_col: str, features) -> DataFrame:
     error = (F.when(~F.coalesce(split_ok, F.lit(False)) & ~F.coalesce(inputs_ok, F.lit(False)), F.lit("malformed body"))
              .when(F.size(lacking) > 0, F.concat(F.lit("missing column: "), F.array_join(lacking, ", "))))
 
-    def by_split(f):
-        # columns are placed by name, whatever their order in the body
-        return lambda r: F.try_element_at(r, F.array_position(cols, f).cast("int"))
-
-    split_rows = F.transform(data, lambda r: F.struct(*[by_split(f)(r).alias(f) for f in features]))
+    split_rows = F.transform(data, lambda r: F.struct(*[
+        F.try_element_at(r, F.col("_at")[i]).alias(f) for i, f in enumerate(features)]))
     n = F.array_max(lengths)
     input_rows = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(*[
         F.try_element_at(F.try_element_at(inputs, F.lit(f)), i).alias(f) for f in features]))
-    rows = F.when(F.col("error").isNull(), F.when(cols.isNotNull(), split_rows).otherwise(input_rows))
+    rows = F.when(F.col("error").isNull(), F.when(split_ok, split_rows).otherwise(input_rows))
     flat = b.withColumn("error", error).select(
         *df.columns, "error", F.posexplode_outer(rows).alias("row", "_r"))
     values = [F.col(f"_r.`{f}`").try_cast("double").alias(f) for f in features]

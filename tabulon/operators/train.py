@@ -48,7 +48,7 @@ def fit_classifier(df: DataFrame, prep: Prep, classifier, label: str) -> Pipelin
     prepared = prep.fit(df)
     rows = prepared.transform(df).select(prep.output, F.col(label).cast("double").alias("_label"))
     classifier = classifier.setFeaturesCol(prep.output).setLabelCol("_label")
-    rows = spread_out(rows).persist()  # read many times by the fit; spills to disk
+    rows = spread_out(rows)  # read many times by the fit; spills to disk
     try:
         return PipelineModel([*prepared.stages, classifier.fit(rows)])
     finally:
@@ -56,9 +56,13 @@ def fit_classifier(df: DataFrame, prep: Prep, classifier, label: str) -> Pipelin
 
 
 def spread_out(rows: DataFrame) -> DataFrame:
-    """Use every core for an iterative fit: only an input with fewer partitions than cores is shuffled."""
+    """Keep the rows, on every core, for an iterative fit: only fewer partitions than cores are shuffled.
+
+    They are kept before their partitions are counted, as counting runs the shuffles of the plan.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    rows = rows.persist()
+    return rows.repartition(cores).persist() if rows.rdd.getNumPartitions() < cores else rows
 
 
 def fit_gbt(df: DataFrame, prep: Prep, label: str, **params) -> PipelineModel:
@@ -84,7 +88,7 @@ def baseline_sweep(train: DataFrame, valid: DataFrame, prep: Prep, label: str, n
     """(model, f1, precision, recall, accuracy) of simple models with the same preparation, best first."""
     checkpoint_root(train.sparkSession)
     prepared = prep.fit(train)
-    rows = spread_out(prepared.transform(train).select(prep.output, F.col(label).cast("double").alias("_label"))).persist()
+    rows = spread_out(prepared.transform(train).select(prep.output, F.col(label).cast("double").alias("_label")))
     held = prepared.transform(valid).select(prep.output, F.col(label).cast("int").alias("_y")).persist()
     results = []
     try:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tabulon.plans.shared import BROADCAST_ROWS
 
-SALTS = 32
 _SAMPLE, _SHARE, _LEAST = 0.01, 0.01, 50
 
 
@@ -27,7 +26,9 @@ def keyed_left_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
     """Equi-join with a right side that is unique per key.
 
     A right side known to be small is broadcast.  Otherwise rows with a hot key, and rows whose
-    key is NULL, are spread over several partitions, the right rows of hot keys copied to each.
+    key is NULL, are spread over as many parts as the shuffle has, the right rows of hot keys copied to each.
+    Left rows are spread by their place, so equal rows part too; hand over a stored frame, whose rows keep
+    their places when a task runs again.
     ``sample_from`` is a cheaper frame with the same key distribution to look for hot keys in.
     """
     keys = list(keys)
@@ -39,9 +40,10 @@ def keyed_left_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
     no_match = F.lit(False)
     for k in keys:
         no_match = no_match | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
     needs_salt = no_match | hashed.isin(hot) if hot else no_match
     salted_left = left.withColumn("_salt", F.when(needs_salt, spread).otherwise(F.lit(0)))
-    copies = F.when(hashed.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.when(hashed.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(copies) if hot else F.lit(0))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
 class SmallFiles:
     def __init__(self, spark: SparkSession):
         self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._gateway = spark.sparkContext._gateway
 
     def _open(self, path: str):
         p = self._jvm.org.apache.hadoop.fs.Path(path)
@@ -15,16 +18,25 @@ class SmallFiles:
 
     def names(self, folder: str) -> list[str]:
         fs, p = self._open(folder)
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return [s.getPath().getName() for s in fs.listStatus(p) if not s.getPath().getName().startswith(".")] if fs.exists(p) else []
 
     def write(self, path: str, text: str) -> None:
-        """Create the file; fails if it exists."""
+        """Create the file whole: written beside its place and then renamed; fails if it exists."""
         fs, p = self._open(path)
-        out = fs.create(p, False)
+        beside = self._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+        out = fs.create(beside, False)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        hadoop = self._jvm.org.apache.hadoop.fs
+        keep = self._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            hadoop.FileContext.getFileContext(fs.getUri(), self._conf).rename(
+                fs.makeQualified(beside), fs.makeQualified(p), keep)
+        except Exception:
+            fs.delete(beside, False)
+            raise
 
     def read(self, path: str) -> str:
         fs, p = self._open(path)

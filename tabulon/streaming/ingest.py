@@ -11,6 +11,9 @@ from tabulon.operators.train import SavedModel
 from tabulon.sources.feature_table import FeatureTable
 
 
+_BATCH = "_batch_id"  # the folder of each micro-batch
+
+
 def stream_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                  files_per_batch: int | None = None) -> DataFrame:
     """A stream of the files in a folder."""
@@ -67,19 +70,22 @@ def score_stream(stream: DataFrame, model, out: str, checkpoint: str) -> DataFra
     """Score a stream with the batch operators, exactly once.
 
     A model with saved lookups scores each micro-batch with the batch lookup (hot keys are
-    spread there too); a batch that is run again replaces its own output folder.
+    spread there too); a batch that is run again replaces its own output folder.  A column named like
+    that folder, ``_batch_id``, is refused.
     """
     spark = stream.sparkSession
     if not (isinstance(model, SavedModel) and model.lookups):
         run_available(score(stream, model), out, checkpoint)
         return spark.read.parquet(out)
+    if _BATCH in stream.columns:
+        raise ValueError(f"the column {_BATCH} names the folders of the output")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        score_with_lookup(batch, model).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        score_with_lookup(batch, model).write.mode("overwrite").parquet(f"{out}/{_BATCH}={batch_id}")
 
     (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out).drop("batch")
+    return spark.read.parquet(out).drop(_BATCH)
 
 
 def health_windows(df: DataFrame, ts: str, size: str, is_error, value: str, watermark: str | None = None,

@@ -182,7 +182,7 @@ g AS (SELECT "column", lo, (hi - lo) / k AS w, unnest(range(0, k)) AS bin FROM e
 SELECT g."column", g.bin, round(lo + g.bin * w, 6) AS "left", round(lo + (g.bin + 1) * w, 6) AS "right",
   coalesce(n, 0) AS n FROM g LEFT JOIN c ON g."column" = c."column" AND g.bin = c.bin""")
 def histogram(spark, d):
-    return rounded(profile.histogram(lines(spark, d), MEASURES))
+    return rounded(profile.histogram(lines(spark, d), MEASURES, empty=True))
 
 
 BY_LONG = long_sql(MEASURES, "lineitem", "l_returnflag")
