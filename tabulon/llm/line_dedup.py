@@ -11,27 +11,29 @@ from tabulon.plans.shared import broadcast_if_small, materialise
 
 # Word counts are kept by hash in a table of this size, whatever the corpus; it only sets the order of words.
 COUNTS = 1 << 20
-# A line is first compared with two lines under each of its rarest words, then with all.
-FIRST_WORDS = 3
 # Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
 IDS_BROADCAST = 1_000_000
 _ADDED = ("n_lines", "n_removed")
 _SPACE = "[\\t-\\r ]+"
+_FACTS = ["doc_id", "line", "n", "bits", "more", "at"]
+_PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
+_ENDS = ["a_doc_id a_doc", "a_line", "b_doc_id b_doc", "b_line"]
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, _SPACE), "")
+    # the pattern is only needed where blanks other than the space occur
+    return F.array_remove(F.when(line.rlike("[\\t-\\r]"), F.split(line, _SPACE)).otherwise(F.split(line, " ")), "")
 
 
 def _rarity(docs: DataFrame) -> Column:
-    """An array of COUNTS small levels, the logarithm of how often the corpus holds words of that hash."""
+    """An array of COUNTS levels, the logarithm of how often the corpus holds words of that hash, in the highest byte."""
     spark = docs.sparkSession
-    counts = (docs.select(F.explode(F.split("text", _SPACE)).alias("word"))
+    counts = (_lines(docs).select(F.explode(_words(F.col("content"))).alias("word"))
               .groupBy(F.expr(f"int(xxhash64(word) & {COUNTS - 1})").alias("at")).agg(F.count("*").alias("n")))
     every = spark.range(COUNTS).select(F.col("id").cast("int").alias("at")).join(counts, "at", "left").select(
         "at", F.expr("int(4 * log2(1 + coalesce(n, 0)))").alias("level"))
     levels = materialise(every, "rarity").agg(F.expr(
-        "transform(array_sort(collect_list(at * 256L + level)), x -> tinyint(least(x & 255, 127)))").alias("levels"))
+        "transform(array_sort(collect_list(at * 256L + level)), x -> shiftleft(least(x & 255, 127), 56))").alias("levels"))
     return levels.scalar()
 
 
@@ -46,18 +48,18 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
     hold one of the other's n - ceil(percent * n) + 1 rarest words.  ``bits`` flips a bit for each word: two
     sets' sketches differ in at most as many bits as the sets in words.
     """
-    rows = _lines(docs).select("doc_id", "line", _words(F.col("content")).alias("w")).filter("size(w) > 0")
-    levels = _rarity(docs)
-    rows = rows.withColumn("levels", levels)
-    key = F.array_distinct(F.transform("w", lambda w: (
-        F.shiftleft(F.element_at(F.col("levels"), (F.xxhash64(w).bitwiseAND(F.lit(COUNTS - 1)) + 1).cast("int"))
-                    .cast("long"), 56)).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))))
+    # the filter looks for a word by itself: on the words it would be pushed down and split each line twice
+    rows = _lines(docs).filter(F.col("content").rlike("[^\\t-\\r ]")).select(
+        "doc_id", "line", F.transform(_words(F.col("content")), lambda w: F.xxhash64(w)).alias("w"))
+    rows = rows.withColumn("levels", _rarity(docs))
+    key = F.array_distinct(F.transform("w", lambda h: F.get(
+        F.col("levels"), h.bitwiseAND(F.lit(COUNTS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 8))))
     rows = rows.select("doc_id", "line", F.sort_array(key).alias("keys")).withColumn("n", F.size("keys"))
-    flip = "aggregate(keys, 0L, (x, k) -> x ^ shiftleft(1L, cast(k >> {} & 63 as int)))"
+    flip = "aggregate(keys, 0L, (x, k) -> x ^ shiftleft(1L, cast({} & 63 as int)))"
     return rows.select(
         "doc_id", "line", F.xxhash64("keys").alias("s1"), F.xxhash64(F.lit(1), "keys").alias("s2"), "n",
         F.expr(f"slice(keys, 1, n - cast((n * {percent} + 99) div 100 as int) + 1)").alias("head"),
-        F.expr(flip.format(0)).alias("bits"), F.expr(f"if(n > 96, {flip.format(6)}, 0L)").alias("more"))
+        F.expr(flip.format("k")).alias("bits"), F.expr(f"if(n > 96, {flip.format('k >> 6')}, 0L)").alias("more"))
 
 
 def _possible(left: str, right: str, percent: int) -> Column:
@@ -87,13 +89,26 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(f"100 * both >= {percent} * (size(a_w) + size(b_w) - both)").select("b_doc", "b_line").distinct()
 
 
+def _near(under: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each line with three earlier ones under each of its rarest words: first, last and most copied."""
+    order = W.partitionBy("word").orderBy("doc_id", "line")
+    line = F.struct("copies", *_FACTS)
+    rows = under.select(*[F.col(c).alias(f"b_{c}") for c in _FACTS], F.array_distinct(F.array_compact(F.array(
+        F.when(F.row_number().over(order) > 1, F.first(line).over(order)), F.lag(line).over(order),
+        F.max(line).over(order.rowsBetween(W.unboundedPreceding, -1))))).alias("others"))
+    rows = rows.select("*", F.inline("others")).drop("others", "copies")
+    rows = rows.select(*[f"b_{c}" for c in _FACTS], *[F.col(c).alias(f"a_{c}") for c in _FACTS])
+    return rows.filter(_possible("a_", "b_", percent)).selectExpr(*_ENDS).distinct()
+
+
 def later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(doc_id, line): the lines, counted from 0, whose word set an earlier line matches to Jaccard >= percent.
 
     Earlier is a smaller doc_id, or the same and a smaller line; lines are judged on the input, not on what is
     left.  Lines with equal word sets are one class, of which the first line stays for comparison.  Classes meet
     under their rarest words, within length, place and sketch bounds; matches are confirmed on the words.  Lines
-    that match one of two leaders under a rare word are done; the others are compared with all lines they meet.
+    that match the first, last or most copied earlier line under a rare word are done, so that variants of one line
+    do not meet in pairs; the others are compared with all lines they meet.
 
     Null texts and rows without a doc_id have no lines here; lines without a word are never removed.  Rows that
     repeat a doc_id with its text count once; if the texts differ, their lines are compared like others of the
@@ -102,37 +117,24 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(
         "doc_id is not null and text is not null")
     sets = materialise(_sets(docs, percent), "lines")
-    first = materialise(sets.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first")), "first")
-    named = sets.join(first, ["s1", "s2"])
-    own = F.struct("doc_id", "line")
-    copies = named.filter(own != F.col("first")).select("doc_id", "line")
-    heads = named.filter(own == F.col("first")).dropDuplicates(["s1", "s2"])
-    heads = materialise(heads.select("doc_id", "line", "n", "bits", "more", "head"), "heads")
-    under = heads.select("doc_id", "line", "n", "bits", "more", F.posexplode("head").alias("at", "word"))
-
-    order = W.partitionBy("word").orderBy("doc_id", "line")
-    facts = ["doc_id", "line", "n", "bits", "more", "at"]
-    near = under.filter(F.col("at") < FIRST_WORDS).select("word", *facts, *[
-        F.when(F.row_number().over(order) > back, x).alias(f"lead{back}")
-        for back, x in ((1, F.first(F.struct(*facts)).over(order)), (2, F.lag(F.struct(*facts)).over(order)))])
-    near = near.select(*[F.col(c).alias(f"b_{c}") for c in facts],
-                       F.explode(F.array("lead1", "lead2")).alias("lead")).filter("lead is not null")
-    near = near.select("*", *[F.col(f"lead.{c}").alias(f"a_{c}") for c in facts])
-    ends = [F.col(x).alias(y) for x, y in (("a_doc_id", "a_doc"), ("a_line", "a_line"), ("b_doc_id", "b_doc"),
-                                           ("b_line", "b_line"))]
-    near = materialise(near.filter(_possible("a_", "b_", percent)).select(*ends).distinct(), "near")
-    done = materialise(_confirm(near, docs, percent), "done")
-
-    probes = heads.join(done, (F.col("doc_id") == F.col("b_doc")) & (F.col("line") == F.col("b_line")), "left_anti")
-    probes = probes.select(*[F.col(c).alias(f"b_{c}") for c in ("doc_id", "line", "n", "bits", "more")],
-                           F.posexplode("head").alias("b_at", "word"))
-    under = under.select("word", *[F.col(c).alias(f"a_{c}") for c in facts])
+    heads = materialise(sets.groupBy("s1", "s2").agg(
+        F.min(F.struct("doc_id", "line", "n", "bits", "more", "head")).alias("first"),
+        F.count("*").alias("copies")).select("s1", "s2", "copies", "first.*"),
+        "heads")
+    at_line = ["doc_id", "line"]
+    under = heads.select("copies", *_FACTS[:-1], F.posexplode("head").alias("at", "word"))
+    near = materialise(_near(under, percent), "near")
+    done = materialise(_confirm(near, docs, percent).select(F.col("b_doc").alias("doc_id"),
+                                                            F.col("b_line").alias("line")), "done")
+    probes = heads.join(done, at_line, "left_anti").select(
+        *[F.col(c).alias(f"b_{c}") for c in _FACTS[:-1]], F.posexplode("head").alias("b_at", "word"))
+    under = under.select("word", *[F.col(c).alias(f"a_{c}") for c in _FACTS])
     earlier = F.expr("a_doc_id < b_doc_id or (a_doc_id = b_doc_id and a_line < b_line)")
-    rest = (probes.join(under, "word").filter(earlier & _possible("a_", "b_", percent)).select(*ends).distinct()
-            .join(near, ["a_doc", "a_line", "b_doc", "b_line"], "left_anti"))
-    more = _confirm(materialise(rest, "rest"), docs, percent)
-    found = done.unionByName(more).select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"))
-    return copies.unionByName(found).distinct()
+    rest = probes.join(under, "word").filter(earlier & _possible("a_", "b_", percent)).selectExpr(*_ENDS).distinct()
+    more = _confirm(materialise(rest.join(near, _PAIR, "left_anti"), "rest"), docs, percent)
+    found = done.unionByName(more.select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line")))
+    kept = heads.select("s1", "s2", *at_line).join(found, at_line, "left_anti")
+    return sets.select("s1", "s2", *at_line).join(kept, ["s1", "s2", *at_line], "left_anti").select(*at_line).distinct()
 
 
 def drop_later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
