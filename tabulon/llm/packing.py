@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from bisect import bisect_left, insort
 
@@ -43,6 +44,12 @@ class Encoder:
         return [b"".join(map(get, one)) + self.end for one in pieces]
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, end: int) -> Encoder:
+    """One encoder for all tasks of a worker process: the file is read once, and pieces stay known."""
+    return Encoder(path, end)
+
+
 class Packer:
     """Packs pieces (length, number, doc_id, start, ids, doc_tokens) of one task; ``windows`` is what is full."""
 
@@ -142,7 +149,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
 
     def run(batches):
         first = TaskContext.get().partitionId() << 36
-        encode, packer, steps = Encoder(tokenizer, end), Packer(tiers), Steps(tiers[-1], step_windows)
+        encode, packer, steps = encoder(tokenizer, end), Packer(tiers), Steps(tiers[-1], step_windows)
         rows, count = [], 0
 
         def deal(found):
