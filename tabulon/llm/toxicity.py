@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass, field
 
@@ -29,8 +30,8 @@ class Automaton:
     """All words within the allowed edits of a lexicon: the trie and its Levenshtein automata, run together.
 
     A state is the set of (trie node, edits so far) that the letters read can have led to; states are numbered and
-    their moves built when first met.  Letters that no term has are all alike.  Terms ending in ``*`` are stems, met exactly, whatever follows.  Terms of 5
-    letters allow one edit, of 9 or more two.
+    their moves built when first met.  Letters that no term has are all alike.  Terms ending in ``*`` are stems, met
+    exactly, whatever follows.  Terms of 5 letters allow one edit, of 9 or more two.
     """
 
     STATES = 1 << 16
@@ -130,44 +131,53 @@ class Reader:
     """Finds hits and describes a text by what stands around them."""
 
     def __init__(self, terms: list[str], common: frozenset[str]):
-        self.automaton, self.common, self.known = Automaton(terms), common, {}
-
-    def edits(self, word: str) -> int:
-        """0 or more for a hit, -1 else; words that clean texts use are no misspellings."""
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) >= _REMEMBERED:
-                self.known.clear()
+        self.automaton, self.common, self.clean = Automaton(terms), common, set()
+
+    def hits(self, found: list[str]) -> dict[str, int]:
+        """The words that are hits, with their edits; words that clean texts use are no misspellings."""
+        out = {}
+        for word in {*found}.difference(self.clean):
             got = self.automaton.match(word)
-            got = -1 if got is None or got and word in self.common else got
-            self.known[word] = got
-        return got
+            if got is None or got and word in self.common:
+                if len(self.clean) >= _REMEMBERED:
+                    self.clean.clear()
+                self.clean.add(word)
+            else:
+                out[word] = got
+        return out
 
     def features(self, text: bytes | None) -> np.ndarray:
         out = np.zeros(len(FEATURES))
         out[0] = 1
         lowered = (text or b"").decode("utf-8", "replace").lower()
         found = _WORD.findall(lowered)
-        which = [i for i, w in enumerate(found) if self.edits(w) >= 0]
-        if not which:
+        hits = self.hits(found)
+        if not hits:
             return out
+        which = [i for i, w in enumerate(found) if w in hits]
         places = [m.span() for m in _WORD.finditer(lowered)]
         for j, i in enumerate(which):
             lo, hi = places[max(0, i - AROUND)][0], places[min(len(places) - 1, i + AROUND)][1]
             before, after = lowered[lo:places[i][0]], lowered[places[i][1]:hi + 1]
             quoted = any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES)
-            out[1 + 2 * quoted + (self.edits(found[i]) > 0)] += 1
+            out[1 + 2 * quoted + (hits[found[i]] > 0)] += 1
             out[5] += j > 0 and i - which[j - 1] <= AROUND
         out[1:6] = np.log1p(out[1:6])
         out[6] = len(which) / len(found)
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def reader(terms: tuple[str, ...], common: frozenset[str]) -> Reader:
+    """One reader for all tasks of a worker process: its automaton and the words it knows stay."""
+    return Reader(list(terms), common)
+
+
 def _sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """(half, y, t): the drawn labelled texts; one half teaches the lexicon, the other the weights."""
     drawn = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y"))
     drawn = (drawn.filter("doc_id is not null and y in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2")
-             .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+             .groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return docs.join(F.broadcast(drawn), "doc_id").select(
         F.expr("int(pmod(xxhash64(doc_id, 1), 2))").alias("half"), "y", F.col("text").alias("t"))
 
@@ -221,8 +231,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     common = frozenset(r.word for r in usual.orderBy("word").limit(50 * TERMS).collect())
 
     def features(kept, texts):
-        reader = features.reader = getattr(features, "reader", None) or Reader(terms, common)
-        return {"y": kept[0], "x": pa.array([reader.features(t).tolist() for t in texts], pa.list_(pa.float64()))}
+        found = reader(tuple(terms), common)
+        return {"y": kept[0], "x": pa.array([found.features(t).tolist() for t in texts], pa.list_(pa.float64()))}
 
     got = per_batch(sample.filter("half = 1"), "t", ["y"], features, "y int, x array<double>").collect()
     x, y = np.array([r.x for r in got]).reshape(-1, len(FEATURES)), np.array([r.y for r in got], float)
@@ -246,14 +256,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     Null and empty texts have no hits and the score of such texts.  Rows without a doc_id are scored and not held
     out.  Without labels of both kinds the lexicon is empty and scores are low.  Repeated rows each get their
-    result; of several labels of an id one counts.  Other columns are not read.
+    result; of several labels of an id the highest counts.  Other columns are not read.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     model = learn(docs, labels, label)
 
     def run(kept, texts):
-        reader = run.reader = getattr(run, "reader", None) or Reader(model.terms, model.common)
-        rows = [reader.features(t) for t in texts]
+        found = reader(tuple(model.terms), model.common)
+        rows = [found.features(t) for t in texts]
         return {"doc_id": kept[0], "score": pa.array(sigmoid(np.array(rows).reshape(-1, len(FEATURES)) @ model.weights)),
                 "hits": pa.array([int(round(np.expm1(r[1:5]).sum())) for r in rows], pa.int64())}
 
