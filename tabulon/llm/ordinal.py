@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -51,6 +52,12 @@ class Features(dict):
         return places, values / np.sqrt(values @ values)
 
 
+@functools.lru_cache(maxsize=1)
+def features_of_words() -> Features:
+    """One table of known words for all tasks of a worker process."""
+    return Features()
+
+
 @dataclass
 class Ordinal:
     """P(grade >= k) = sigmoid(w . x - cuts[k - 1]) for grades 0..len(cuts), with rising cuts."""
@@ -87,17 +94,18 @@ def fit_ordinal(docs: DataFrame, ratings: DataFrame, grade: str = "grade", id_co
                 rows: int = FIT_ROWS, penalty: float = 1e-4, rounds: int = 40) -> Ordinal | None:
     """Fit to at most ``rows`` rated documents; None when they hold less than two grades.
 
-    Grades are whole numbers from 0.  The hashed vectors are stored once; each step sums the loss and its slope
+    Grades are whole numbers from 0; of several of an id the lowest counts.  The hashed vectors are stored once; each step sums the loss and its slope
     over their partitions in Spark, and only those sums, of fixed size, reach the driver.
     """
     rated = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{grade}`").cast("int").alias("grade"))
-    rated = rated.filter("doc_id is not null and grade >= 0").dropDuplicates(["doc_id"])
+    rated = rated.filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(
+        F.min("grade").alias("grade"))
     drawn = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     rows_ = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t")).join(
         F.broadcast(drawn), "doc_id")
 
     def vectors(kept, texts):
-        features = vectors.features = getattr(vectors, "features", None) or Features()
+        features = features_of_words()
         found = [features.of(t) for t in texts]
         return {"grade": kept[0], "places": pa.array([p for p, _ in found], pa.list_(pa.int32())),
                 "values": pa.array([v for _, v in found], pa.list_(pa.float32()))}
@@ -150,7 +158,7 @@ def grade(docs: DataFrame, model: Ordinal | None, id_col: str = "doc_id", text:
     """
 
     def score(kept, texts):
-        features = score.features = getattr(score, "features", None) or Features()
+        features = features_of_words()
         if model is None:
             return {"doc_id": kept[0], **{c: pa.nulls(len(texts), pa.float64()) for c in ("expected_grade",
                                                                                         "tail_probability")}}

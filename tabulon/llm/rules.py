@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.words import Codes, Rolling, per_batch
+from tabulon.llm.words import Codes, Rolling, per_batch, shared_codes
 from tabulon.plans.shared import materialise
 
 WINDOW = 5
@@ -60,7 +60,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     """
 
     def run(kept, texts):
-        codes = run.codes = getattr(run, "codes", None) or Codes()
+        codes = shared_codes()
         rows = np.array([_counts(t or b"", codes) for t in texts], np.int64).reshape(-1, len(COUNTS))
         return {"doc_id": kept[0], **{c: pa.array(rows[:, i]) for i, c in enumerate(COUNTS)}}
 
@@ -153,8 +153,11 @@ def learn(x: np.ndarray, bad: np.ndarray, names: list[str], seed: int = 7, preci
 def fit_rules(stats: DataFrame, labels: DataFrame, good: str = "quality", rows: int = FIT_ROWS) -> DecisionList:
     """A list of rules for labels of 0, from at most ``rows`` labelled rows; without both labels it is empty."""
     wanted = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{good}`").alias("good")).filter(
-        "good is not null and doc_id is not null").dropDuplicates(["doc_id"])
-    sample = (stats.dropDuplicates(["doc_id"]).join(wanted, "doc_id").select("doc_id", "good", *[
+        "good is not null and doc_id is not null").groupBy("doc_id").agg(F.min("good").alias("good"))
+    # of several texts of an id the least by its counts
+    single = stats.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("good").alias("good"),
+                                                                F.min(F.struct(*COUNTS)).alias("c"))
+    sample = (single.select("doc_id", "good", "c.*").select("doc_id", "good", *[
         c.alias(n) for n, c in ratios().items()]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     got = sample.collect()
     names = list(RATIOS)
@@ -170,7 +173,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     base_failed, and none of the learned rules is met; ``rule`` is the number of the first that is.
 
     Null and empty texts have no words and fail.  Repeated rows each get their result; labels without an id or a
-    value are not used, and of several labels of an id one.  Other columns are not read.
+    value are not used, and of several labels of an id the lowest is.  Other columns are not read.
     """
     stats = materialise(statistics(docs, id_col, text), "statistics")
     rules = fit_rules(stats, labels)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +35,12 @@ class Codes(dict):
         return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
 
+@functools.lru_cache(maxsize=1)
+def shared_codes() -> Codes:
+    """One table of word codes for all tasks of a worker process."""
+    return Codes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
