@@ -15,7 +15,7 @@ from tabulon.plans.shared import materialise
 
 SLICE, ROW, _TIE = "_slice", "_row", "_tie"
 # Groups known to be at most this long may be handled by one ordinary window.
-WINDOW_ROWS = 1_000_000
+WINDOW_ROWS = 4_000
 
 
 def _named(order) -> list[Column]:

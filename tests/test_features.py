@@ -114,6 +114,20 @@ def test_split_with_a_class_of_one_and_a_single_class(spark):
     assert single.filter("split = 'test'").count() == 3
 
 
+def test_split_and_folds_of_twenty_thousand_classes(spark):
+    many = spark.range(0, 40_000, 1, 4).select(F.col("id").alias("k"), F.expr(
+        "case when id < 10000 then 0 when id < 20000 then null else id % 20000 + 1 end").alias("y"))
+    out = split.stratified_split(many, "k", "y", 0.2, seed=3)
+    sizes = out.groupBy("y").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("t"))
+    got = {r.y: (r.n, r.t) for r in sizes.filter("y is null or y = 0").collect()}
+    assert got == {0: (10_000, 2_000), None: (10_000, 2_000)}
+    # 4,000 rows are left for 20,000 classes of one row with equal remainders
+    assert sizes.agg(F.sum("t")).first()[0] == 8_000 and sizes.filter("y > 0 and n <> 1").isEmpty()
+    folds = split.stratified_folds(many, "k", "y", 4, seed=3).groupBy("y", "fold").count().persist()
+    assert sorted(r["count"] for r in folds.filter("y = 0").collect()) == [2_500] * 4
+    assert folds.filter("y > 0 and (fold <> 0 or count <> 1)").isEmpty() and folds.filter("y > 0").count() == 20_000
+
+
 def test_folds_are_even_and_cover_everything(spark):
     out = split.stratified_folds(_classes(spark, 23, 12), "k", "y", 5, seed=2)
     counts = {(r["y"], r["fold"]): r["count"] for r in out.groupBy("y", "fold").count().collect()}
