@@ -94,8 +94,9 @@ def fit_ordinal(docs: DataFrame, ratings: DataFrame, grade: str = "grade", id_co
                 rows: int = FIT_ROWS, penalty: float = 1e-4, rounds: int = 40) -> Ordinal | None:
     """Fit to at most ``rows`` rated documents; None when they hold less than two grades.
 
-    Grades are whole numbers from 0; of several of an id the lowest counts.  The hashed vectors are stored once; each step sums the loss and its slope
-    over their partitions in Spark, and only those sums, of fixed size, reach the driver.
+    Grades are whole numbers from 0; of several of an id the lowest counts.  The hashed vectors are stored once;
+    each step sums the loss and its slope over their partitions in Spark, and only those sums, of fixed size,
+    reach the driver.
     """
     rated = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{grade}`").cast("int").alias("grade"))
     rated = rated.filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(
