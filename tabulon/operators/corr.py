@@ -137,9 +137,10 @@ def _kendall(df, cols, bins):
     ranks = running(ty, ["y"], by=["pair"], sums={"r": "one"}, longest=longest).select(
         "pair", "y", (F.col("r") - 1).alias("r"))
     ranked = materialise(keyed_left_join(cells, ranks, ["pair", "y"]))
-    top = ranked.agg(F.max("r")).first()[0] or 0
-    levels = max(1, int(top).bit_length())
-    spread = (ranked.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
+    # each pair has the levels of its own ranks: above them every bit is 0 and nothing is concordant
+    levels = F.broadcast(ranked.groupBy("pair").agg(F.greatest(F.length(F.bin(F.max("r"))), F.lit(1)).alias("levels")))
+    spread = (ranked.join(levels, "pair")
+              .withColumn("level", F.explode(F.sequence(F.lit(0), F.col("levels") - 1)))
               .select("pair", "level", F.expr("shiftright(r, level + 1)").alias("prefix"), "x", "m",
                       F.expr("shiftright(r, level) & 1").alias("bit")))
     grouped = spread.groupBy("pair", "level", "prefix", "x").agg(

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 from tabulon.operators import corr, profile, quantiles
 from tabulon.plans import ordered
+from workload.registry import QUERIES
+from workload.star import MEASURES
+
+import __spark_entry__ as entry  # noqa: F401  (fills the registry)
 
 
 @pytest.fixture(scope="module")
@@ -166,6 +170,40 @@ def test_kendall_against_all_pairs(df, pdf, monkeypatch, window_rows):
         assert v == pytest.approx(_tau_b(both[a].to_numpy(), both[b].to_numpy()))
 
 
+def _tau_b_blocks(x, y, block=500):
+    """tau-b of all pairs of rows, some rows against all at a time."""
+    s = a = b = 0
+    for i in range(0, len(x), block):
+        dx, dy = np.sign(x[i:i + block, None] - x), np.sign(y[i:i + block, None] - y)
+        s, a, b = s + (dx * dy).sum(), a + (dx != 0).sum(), b + (dy != 0).sum()
+    return s / math.sqrt(float(a) * float(b))
+
+
+@pytest.mark.parametrize("window_rows", [0, 1_000_000])
+def test_kendall_with_a_continuous_column(spark, monkeypatch, window_rows):
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", window_rows)
+    g = np.random.default_rng(3)
+    q = g.integers(1, 51, 1500).astype(float)
+    data = {"q": q, "price": q * g.uniform(900, 2100, 1500), "t": g.integers(0, 9, 1500).astype(float)}
+    df = spark.createDataFrame(list(zip(*(v.tolist() for v in data.values()))), "q double, price double, t double")
+    got = {(r["x"], r["y"]): r["r"] for r in corr.corr_matrix(df, list(data), "kendall").collect()}
+    assert len(got) == 9
+    for (a, b), v in got.items():
+        assert v == pytest.approx(_tau_b_blocks(data[a], data[b]))
+
+
+def test_kendall_query_takes_all_measures(spark, sf):
+    name, few = "corr_kendall_measures", "corr_kendall"
+    got = {(r["x"], r["y"]): r["r"] for r in QUERIES[name](spark, sf).collect()}
+    assert set(got) == {(a, b) for a in MEASURES for b in MEASURES}
+    assert {(r["x"], r["y"]): r["r"] for r in QUERIES[few](spark, sf).collect()}.items() <= got.items()
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(*MEASURES).toPandas().astype(float)
+    lines[["l_discount", "l_tax"]] = lines[["l_discount", "l_tax"]].replace(0.0, np.nan)
+    for a, b in [("l_quantity", "l_extendedprice"), ("l_extendedprice", "l_discount"), ("l_extendedprice", "l_tax")]:
+        both = lines[[a, b]].dropna().to_numpy()
+        assert got[a, b] == got[b, a] == pytest.approx(_tau_b_blocks(both[:, 0], both[:, 1]), abs=1e-6)
+
+
 def test_correlation_with_a_constant(spark):
     df = spark.createDataFrame([(float(i), 1.0, -float(i)) for i in range(20)], "a double, c double, b double")
     for method in ("pearson", "spearman", "kendall"):

@@ -335,6 +335,13 @@ def corr_kendall(spark, d):
     return rounded(corr.corr_matrix(frame, GRID, "kendall"))
 
 
+@query("corr_kendall_measures")
+def corr_kendall_measures(spark, d):
+    """Every pair of the measures, the continuous l_extendedprice too; corr_kendall has the pairs that its quadratic SQL can check."""
+    frame = zero_to_null(lines(spark, d).select(*MEASURES), ["l_discount", "l_tax"])
+    return rounded(corr.corr_matrix(frame, MEASURES, "kendall"))
+
+
 def _chi_one(a, b, k=10):
     def binned(c):
         return f"CAST(least(floor(({c} - lo_{c}) / ((hi_{c} - lo_{c}) / {k})), {k - 1}) AS BIGINT)"
