@@ -15,6 +15,9 @@ from tabulon.operators import train, tune
 from tabulon.operators.prep import Prep
 from tabulon.plans.shared import scratch
 from tabulon.sources.feature_table import FeatureTable
+from workload.registry import QUERIES
+
+import __spark_entry__ as entry  # noqa: F401  (fills the registry)
 
 
 def rule(expression):
@@ -206,3 +209,44 @@ def test_baselines_and_permutation(spark, learnable):
     drop = {r.feature: r.f1_drop for r in ev.perm_importance(
         learnable, lambda f: sc.score(f, rule("a > 0.5")), ["a", "b"], "k", "y").collect()}
     assert drop["a"] > 0.1 and drop["b"] == 0.0
+
+
+@pytest.mark.parametrize("name", ["gbt_score", "gbt_score_check", "gbt_importance", "tune_gbt"])
+def test_tree_queries_take_the_rounds_and_depths_of_the_search_space(spark, sf, monkeypatch, name):
+    """The fit is replaced by a small one that notes what was asked for."""
+    asked, fit = [], train.fit_gbt
+
+    def small(rows, plan, label, **params):
+        asked.append(params)
+        return fit(rows, plan, label, **{**params, "maxIter": 1, "maxDepth": 2})
+
+    monkeypatch.setattr(train, "fit_gbt", small)
+    QUERIES[name](spark, sf).collect()
+    assert len(asked) == (5 if name == "tune_gbt" else 1)
+    first, stop = tune.SEARCH_SPACE["max_depth"][1:]
+    for params in asked:
+        assert params["maxIter"] == tune.SEARCH_SPACE["n_estimators"]
+        assert params["minInstancesPerNode"] == tune.SEARCH_SPACE["min_child_samples"]
+        assert first <= params["maxDepth"] < stop
+
+
+def test_logistic_query_runs_to_its_end(spark, sf, monkeypatch):
+    asked, fit = [], train.fit_logistic
+    monkeypatch.setattr(train, "fit_logistic", lambda *a, **params: asked.append(params) or fit(*a, **params))
+    QUERIES["logistic_score"](spark, sf).collect()
+    assert asked == [{}]
+
+
+@pytest.mark.parametrize("by", [None, "l_returnflag"])
+def test_densities_of_a_continuous_column(spark, sf, by):
+    got = QUERIES["kde_continuous_by_class" if by else "kde_continuous"](spark, sf).collect()
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_extendedprice", "l_returnflag").toPandas()
+    lo, hi = lines.l_extendedprice.min(), lines.l_extendedprice.max()
+    groups = {None: lines} if by is None else dict(list(lines.groupby(by)))
+    assert len(got) == 200 * len(groups)
+    for r in got:
+        v = groups[r[by] if by else None].l_extendedprice.astype(float).to_numpy()
+        h = v.std(ddof=1) * len(v) ** -0.2
+        assert r["density"] == pytest.approx(
+            np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi)), rel=1e-5)
+        assert lo - 1e-6 <= r["x"] <= hi + 1e-6

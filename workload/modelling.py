@@ -135,7 +135,9 @@ def perm_importance(spark, d):
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PREP = Prep(FEATURES, ["l_discount", "l_tax"], remainder="pass")
-SMALL_GBT = {"maxIter": 3, "maxDepth": 3, "seed": 7}
+# the fixed values of the search space, 181 rounds among them, at its least depth, 10
+GBT = {**train.gbt_params({k: v for k, v in tune.SEARCH_SPACE.items() if not isinstance(v, tuple)}),
+       "maxDepth": tune.SEARCH_SPACE["max_depth"][1], "seed": 7}
 
 
 def labelled_lines(spark, d):
@@ -145,7 +147,7 @@ def labelled_lines(spark, d):
 @query("gbt_score")
 def gbt_score(spark, d):
     rows = labelled_lines(spark, d)
-    model = train.fit_gbt(rows, PREP, "y", **SMALL_GBT)
+    model = train.fit_gbt(rows, PREP, "y", **GBT)
     uri = train.save_model(model, scratch(spark, "gbt"), rows.select(*FEATURES))
     return rounded(sc.score(rows, train.load_model(spark, uri), probability="p"))
 
@@ -155,21 +157,21 @@ SELECT l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_returnflag = 'R' A
 def gbt_score_check(spark, d):
     """Every row is kept as it was, and the class is the one its probability says."""
     rows = labelled_lines(spark, d)
-    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **SMALL_GBT), probability="p")
+    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **GBT), probability="p")
     return scored.select(*FEATURES, "y", (F.col("p").between(0, 1) & (
         F.col("prediction") == (F.col("p") > 0.5).cast("int"))).alias("consistent"))
 
 
 @query("gbt_importance")
 def gbt_importance(spark, d):
-    model = train.fit_gbt(labelled_lines(spark, d), PREP, "y", **SMALL_GBT)
+    model = train.fit_gbt(labelled_lines(spark, d), PREP, "y", **GBT)
     return rounded(ev.importance(model, PREP.used()))
 
 
 @query("logistic_score")
 def logistic_score(spark, d):
     rows = labelled_lines(spark, d)
-    return rounded(sc.score(rows, train.fit_logistic(rows, PREP, "y", maxIter=10), probability="p"), 4)
+    return rounded(sc.score(rows, train.fit_logistic(rows, PREP, "y"), probability="p"), 4)
 
 
 @query("baseline_sweep")
@@ -246,6 +248,9 @@ def best_run(spark, d):
     return rounded(tune.best_run(rule_runs(spark, d)))
 
 
+TRIALS = 5
+
+
 @query("tune_gbt")
 def tune_gbt(spark, d):
     """Random search with real fits: tuned on a validation part of the training rows."""
@@ -254,13 +259,12 @@ def tune_gbt(spark, d):
     outer = stratified_split(orders, "o_orderkey", "y", seed=2).filter("split = 'train'").drop("split")
     inner = stratified_split(outer, "o_orderkey", "y", seed=3)
     plan = Prep(["o_totalprice", "o_custkey"], remainder="pass")
-    space = {**tune.SEARCH_SPACE, "n_estimators": 3, "max_depth": ("integer", 2, 4)}
 
     def fit(rows, params):
         return train.fit_gbt(rows, plan, "y", **train.gbt_params(params))
 
     return rounded(tune.run_trials(inner.filter("split = 'train'"), inner.filter("split = 'test'"),
-                                   tune.sample_space(spark, 3, seed=4, space=space), fit, "y"))
+                                   tune.sample_space(spark, TRIALS, seed=4), fit, "y"))
 
 
 @query("cross_val", """
@@ -302,7 +306,7 @@ def score_batches(spark, d):
 def score_batches_trees(spark, d):
     """A boosted-tree model exported to arrays and applied in Arrow batches, beside its own predictions."""
     rows = labelled_lines(spark, d)
-    model = train.fit_gbt(rows, PREP, "y", **SMALL_GBT)
+    model = train.fit_gbt(rows, PREP, "y", **GBT)
     prepared = model.transform(rows).select(*[f"{c}_prep" for c in FEATURES], F.col("prediction").cast("int").alias("own"))
     batches = sc.score_batches(prepared, sc.tree_predictor(sc.tree_arrays(model.stages[-1])), [f"{c}_prep" for c in FEATURES])
     return batches.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("own") == F.col("prediction")).cast("long")).alias("agree"))
