@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,11 +16,10 @@ from tabulon.llm.words import Codes, Rolling, long_lists, mix, per_batch, words
 from tabulon.plans.shared import broadcast_if_small, materialise
 
 COORDINATES = 16
-MATCHES = 4
-# Further coordinates, kept by one bit each, compared before a pair leaves the join.  Two sets of Jaccard 0.8
-# differ in 38 of 384 on average, by chance in more than 70 less than once in a million.
+# Further coordinates, kept by one bit each, compared before a pair leaves the join.
 CHECKS = 384
-CHECK_DIFFERENCES = 70
+# The chance at most that two sets just at the threshold fail the test of the posted coordinates, and that of the checks.
+MISS = 5e-7
 # Bits that a set flips, one for each shingle: two sets never differ in more bits than in shingles.
 FLIPPED = 1024
 # Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
@@ -28,6 +29,24 @@ _CHECKED = [f"c{i}" for i in range(CHECKS // 64)]
 _SKETCH = [*_CHECKED, "flips"]
 
 
+def limits(percent: int) -> tuple[int, int]:
+    """How many posted coordinates must agree, and how many checked bits may differ, for pairs of Jaccard >= percent.
+
+    A coordinate agrees with the chance of the Jaccard similarity; one of its bits differs in half of the other cases.
+    Below the least similarity at which one coordinate in common is near enough to certain, there is no such number.
+    """
+    def chance(n, p, counts):
+        return sum(comb(n, i) * p ** i * (1 - p) ** (n - i) for i in counts)
+
+    least = next(p for p in range(1, 101) if (1 - p / 100) ** COORDINATES <= MISS)
+    if not least <= percent <= 100:
+        raise ValueError(f"percent is {percent}: signatures of {COORDINATES} coordinates find pairs of {least} to 100 percent only")
+    alike = percent / 100
+    matches = max(m for m in range(1, COORDINATES + 1) if chance(COORDINATES, alike, range(m)) <= MISS)
+    apart = min(d for d in range(CHECKS + 1) if chance(CHECKS, (1 - alike) / 2, range(d + 1, CHECKS + 1)) <= MISS)
+    return matches, apart
+
+
 def shingles(text: bytes | None, k: int, codes: Codes) -> np.ndarray:
     """Sorted distinct codes of the ``k``-word shingles, A-Z lower-cased; a shorter text is one shingle."""
     found = words(text.lower() if text else text)
@@ -109,12 +128,12 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text: str, k: int,
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _postings(reps: DataFrame) -> DataFrame:
-    """(coordinate, value, id, weight): of each document's postings the rarest 16 - 4 + 1 that others share.
+def _postings(reps: DataFrame, matches: int) -> DataFrame:
+    """(coordinate, value, id, weight): of each document's postings the rarest 16 - matches + 1 that others share.
 
     ``weight`` adds up how many documents share each coordinate; the text that others are copies of has most.
 
-    Two signatures that agree in four coordinates share one of those, whatever the order; rarest first keeps
+    Two signatures that agree in ``matches`` coordinates share one of those, whatever the order; rarest first keeps
     the lists short and skips the lists of boiler-plate.  Values that occur once use up places and join nothing.
     """
     rows = reps.select("id", F.xxhash64("set_id").alias("own"),
@@ -125,7 +144,7 @@ def _postings(reps: DataFrame) -> DataFrame:
     return (shared.withColumn("shared", F.count("*").over(of_doc))
             .withColumn("weight", F.sum("held").over(of_doc))
             .withColumn("place", F.row_number().over(of_doc.orderBy("held", "coordinate", "value")))
-            .filter(F.col("place") + (COORDINATES - F.col("shared")) <= COORDINATES - MATCHES + 1)
+            .filter(F.col("place") + (COORDINATES - F.col("shared")) <= COORDINATES - matches + 1)
             .select("coordinate", "value", "id", "weight"))
 
 
@@ -136,10 +155,11 @@ def _flipped(left: str, right: str) -> str:
 
 def _alike(left: str, right: str, percent: int) -> F.Column:
     """Sizes within the bound, enough posted and checked coordinates in common, few enough flipped bits apart."""
+    matches, apart = limits(percent)
     same = "+".join(f"int({left}{c} = {right}{c})" for c in _POSTED)
     checked = "+".join(f"bit_count({left}{c} ^ {right}{c})" for c in _CHECKED)
     return F.expr(f"100 * {left}n >= {percent} * {right}n and 100 * {right}n >= {percent} * {left}n "
-                  f"and {same} >= {MATCHES} and {checked} <= {CHECK_DIFFERENCES} "
+                  f"and {same} >= {matches} and {checked} <= {apart} "
                   f"and {100 + percent} * {_flipped(left, right)} "
                   f"<= {100 - percent} * ({left}n + {right}n)")
 
@@ -186,23 +206,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     Equal sets are one class.  Each class posts under its signature coordinates.  In two rounds, classes that
     share a list with a leader of another component are compared with it, which joins large groups without pairs
-    inside them.  Then all pairs of a list from different components that agree in at least 4 of 16 posted
-    coordinates, differ in at most 70 of 384 checked bits and in no more flipped bits than their sizes allow are
-    compared, so no pair that could join two components is left out; two sets of Jaccard 0.8 fail the first two
-    tests with a chance below one in a million, and never the third.  Links count only after
-    100 * intersection >= percent * union on the full sets.
+    inside them.  Then all pairs of a list from different components that agree in enough of 16 posted
+    coordinates, differ in few enough of 384 checked bits and in no more flipped bits than their sizes allow are
+    compared, so no pair that could join two components is left out.  ``limits`` sets the first two from percent (4 and
+    70 for 80): two sets at the threshold fail them with a chance below one in a million, and never the third.
+    A percent below 60 is an error, as too many pairs would have no coordinate in common.  Links count only
+    after 100 * intersection >= percent * union on the full sets.
 
     Null and empty texts have no shingles, link with nothing and are kept, and so are rows without a doc_id; a
     text of fewer than ``k`` words has one shingle, all its words.  Rows that repeat a doc_id count as one
     document and each get its result.  Other columns are not read.
     """
+    matches, _ = limits(percent)
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     signed = materialise(signatures(docs, "doc_id", "text", k), "signatures")
     reps = materialise(signed.filter("n > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"),
         *[F.first(c).alias(c) for c in _POSTED + _SKETCH]), "classes")
-    postings = materialise(_postings(reps), "postings")
+    postings = materialise(_postings(reps, matches), "postings")
     facts = reps.select("id", "n", *_POSTED, *_SKETCH)
 
     place = None

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from tabulon.llm.components import components
-from tabulon.llm.near_dedup import near_duplicates
+from tabulon.llm.near_dedup import limits, near_duplicates
 from tabulon.llm.repeats import cut_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,6 +64,25 @@ def test_near_duplicates(spark, corpus, seed):
     assert got == brute_groups(rows, 4, 80)
 
 
+@pytest.mark.parametrize("percent, n, both", [(60, 80, 60), (70, 85, 70), (90, 95, 90)])
+def test_pairs_at_other_thresholds(spark, percent, n, both):
+    """60 pairs of texts just at the threshold, in words of their own."""
+    rows = []
+    for i in range(60):
+        words = [f"p{i}w{j}" for j in range(2 * n - both)]
+        rows += [(2 * i, " ".join(words[:n])), (2 * i + 1, " ".join(words[n - both:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, k=1, percent=percent).collect()}
+    assert got == {i: i // 2 * 2 for i in range(120)}
+
+
+def test_limits_follow_the_threshold(spark):
+    assert limits(80) == (4, 70)
+    for percent in (59, 0, 101):
+        with pytest.raises(ValueError):
+            near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), percent=percent)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_cut_repeats(spark, corpus, seed):
     rows = corpus(seed, n=80, length=200)
