@@ -250,3 +250,12 @@ def test_densities_of_a_continuous_column(spark, sf, by):
         assert r["density"] == pytest.approx(
             np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi)), rel=1e-5)
         assert lo - 1e-6 <= r["x"] <= hi + 1e-6
+
+
+def test_trees_are_scored_by_spark(spark, sf, monkeypatch):
+    fit = train.fit_gbt
+    monkeypatch.setattr(train, "fit_gbt", lambda *a, **params: fit(*a, **{**params, "maxIter": 2, "maxDepth": 3}))
+    for name in ("tree_arrays", "tree_predictor", "score_batches"):
+        monkeypatch.setattr(sc, name, lambda *a, **b: pytest.fail("scored outside Spark"))
+    got = QUERIES["score_batches_trees"](spark, sf).first()
+    assert got["n"] == got["agree"] == spark.read.parquet(f"{sf}/lineitem.parquet").count()

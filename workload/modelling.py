@@ -304,12 +304,11 @@ def score_batches(spark, d):
 
 @query("score_batches_trees", "SELECT count(*) AS n, count(*) AS agree FROM lineitem")
 def score_batches_trees(spark, d):
-    """A boosted-tree model exported to arrays and applied in Arrow batches, beside its own predictions."""
+    """A boosted-tree model applied by its own transform on Spark, its predictions beside its probabilities."""
     rows = labelled_lines(spark, d)
-    model = train.fit_gbt(rows, PREP, "y", **GBT)
-    prepared = model.transform(rows).select(*[f"{c}_prep" for c in FEATURES], F.col("prediction").cast("int").alias("own"))
-    batches = sc.score_batches(prepared, sc.tree_predictor(sc.tree_arrays(model.stages[-1])), [f"{c}_prep" for c in FEATURES])
-    return batches.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("own") == F.col("prediction")).cast("long")).alias("agree"))
+    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **GBT), probability="p")
+    agree = F.col("p").between(0, 1) & (F.col("prediction") == (F.col("p") > 0.5).cast("int"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.sum(agree.cast("long")).alias("agree"))
 
 
 WORDY = "words > 100 AND digits * 20 < chars"
