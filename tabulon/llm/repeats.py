@@ -1,4 +1,4 @@
-"""Substring dedup: documents parsed, relative to all earlier documents, into factors of indexed blocks."""
+"""Substring dedup: documents cut into content-defined blocks that are looked up in an index of all documents' blocks."""
 
 from __future__ import annotations
 
@@ -117,9 +117,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", win
     """(doc_id, n_words, n_removed, spans, kept_sha256): words inside windows that an earlier document holds too.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Content-cut blocks of all documents form the index.  A document
-    is parsed into blocks; runs of blocks known from a smaller doc_id are factors, and the blocks where a factor
-    may begin or end are checked window by window, over all documents that share their anchor.  Together this
-    gives exactly the words covered by a window of ``window`` words that also starts in a smaller doc_id.
+    is cut into blocks, in place of a greedy parse into longest factors; blocks known from a smaller doc_id go
+    whole, and blocks that differ under one anchor are compared window by window, over all documents that share
+    it.  Together this gives exactly the words covered by a window of ``window`` words that also starts in a smaller doc_id.
     ``spans`` lists them as [start, end) word places; ``kept_sha256`` is of the other words joined by a space.
 
     Null and empty texts have no words; rows without a doc_id lose nothing and count as no source.  Repeated rows
