@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import (decontaminate, line_dedup, near_dedup, ordinal, packing, repeats, rules, secrets, toxicity,
-                         warc)
+from tabulon.llm import (alignment, decontaminate, exact_dedup, line_dedup, near_dedup, ordinal, packing, repeats,
+                         rules, runs, secrets, toxicity, warc)
 from tabulon.plans.shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,10 +97,10 @@ def inferred_formats(spark, d):
                         secrets.joined("spans").alias("spans"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -170,3 +170,66 @@ def window_containment(spark, d):
     found = decontaminate.contamination(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@_query("op11_token_spans")
+def token_spans(spark, d):
+    return alignment.link_statistics(
+        _table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@_query("op12_content_sort", """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""")
+def content_sort(spark, d):
+    return exact_dedup.exact_copies(_table(spark, d, "documents"), keep="largest")
+
+
+# CRC-32 of the id in decimal, bit by bit
+_ID_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, by the hash of its id, the words from some place on repeat with a period."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), "")))
+    rows = rows.withColumns({"n": F.size("w"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, get(w, int(a + (i - a) % p)))), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op13_minimizer_runs", f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w, {_ID_CRC} AS h FROM documents),
+e AS (SELECT *, h // 10 AS g, len(w) AS n FROM d),
+f AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+t AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_concat(w[1:a], list_transform(range(a, n),
+  lambda i: w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1])) END AS w FROM f),
+x AS (SELECT doc_id, n, unnest(range(0, n)) AS i, unnest(w) AS v FROM t),
+s AS (SELECT p.doc_id, q.i - p.i AS lag, p.i FROM x p JOIN x q ON p.doc_id = q.doc_id AND p.v = q.v AND q.i > p.i AND 2 * (q.i - p.i) <= p.n),
+k AS (SELECT doc_id, lag, min(i) AS s, max(i) + 1 + lag AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM s) GROUP BY doc_id, lag, island
+  HAVING count(*) + lag >= greatest(12, 2 * lag)),
+r AS (SELECT doc_id, s, e, min(lag) AS q FROM k GROUP BY doc_id, s, e),
+o AS (SELECT doc_id, count(*) AS n_runs, max((e - s, -s, -q)) AS b,
+  string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY doc_id),
+z AS (SELECT doc_id, string_agg(v, ' ' ORDER BY i) AS kept FROM x WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.doc_id = x.doc_id AND x.i >= r.s + r.q AND x.i < r.e) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -b[2] AS start, b[1] AS length, -b[3] AS period, 1000 * b[1] // -b[3] AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents LEFT JOIN o USING (doc_id) LEFT JOIN z USING (doc_id)""")
+def minimizer_runs(spark, d):
+    found = runs.periodic_runs(with_planted_runs(_table(spark, d, "documents")))
+    # the greatest length, then the smallest start, then the smallest period
+    best = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as s, -r.period as p)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
