@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.operators.boost import walk
 from tabulon.operators.lookup import lookup, lookups_from_specs
 from tabulon.operators.train import SavedModel, load_model
 
@@ -56,45 +57,16 @@ def linear_predictor(coefficients, intercept: float, threshold: float = 0.0):
     return load
 
 
-def tree_arrays(gbt_model) -> dict:
-    """A boosted-tree model as plain arrays (feature, threshold, left, right, value per node),
-    small enough to ship to every task: its size is that of the model, not of the data."""
-    trees = []
-    for tree, weight in zip(gbt_model.trees, gbt_model.treeWeights):
-        feature, threshold, left, right, value = [], [], [], [], []
-
-        def walk(node):
-            at = len(feature)
-            for column, start in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1)):
-                column.append(start)
-            value.append(node.prediction())
-            if node.subtreeDepth() > 0:
-                feature[at], threshold[at] = node.split().featureIndex(), node.split().threshold()
-                left[at] = walk(node.leftChild())
-                right[at] = walk(node.rightChild())
-            return at
-
-        walk(tree._call_java("rootNode"))
-        trees.append({"feature": feature, "threshold": threshold, "left": left, "right": right,
-                      "value": value, "weight": float(weight)})
-    return {"trees": trees}
-
-
-def tree_predictor(arrays: dict):
-    """load_fn for ``tree_arrays``: NumPy walks all rows of a batch down each tree together."""
+def ensemble_predictor(ensemble):
+    """load_fn for a fitted ensemble of ``boost``, outside its pipeline: 1 where the margin is positive."""
+    start, _, trees = ensemble.parts()
+
     def load():
+        walked = [(t.arrays(), np.array(t.value)) for t in trees]
+
         def predict(x):
-            margin = np.zeros(len(x))
-            rows = np.arange(len(x))
-            for t in arrays["trees"]:
-                feature, cut = np.array(t["feature"]), np.array(t["threshold"])
-                left, right = np.array(t["left"]), np.array(t["right"])
-                at = np.zeros(len(x), dtype=int)
-                while (inner := feature[at] >= 0).any():
-                    goes_left = x[rows, np.maximum(feature[at], 0)] <= cut[at]
-                    at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-                margin += t["weight"] * np.array(t["value"])[at]
-            return (margin > 0).astype("int32")
+            columns = np.ascontiguousarray(x.T)
+            return (start + sum(value[walk(columns, tree)] for tree, value in walked) > 0).astype("int32")
 
         return predict
 

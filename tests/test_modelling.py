@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
+from tabulon.operators import boost
 from tabulon.operators import evaluate as ev
 from tabulon.operators import lookup as lk
 from tabulon.operators import score as sc
@@ -131,10 +132,10 @@ def test_gbt_learns_saves_and_loads(spark, learnable):
     assert top.feature == "a"
 
 
-def test_exported_trees_predict_the_same(spark, learnable):
-    model = train.fit_gbt(learnable, PREP, "y", maxIter=4, maxDepth=3, seed=1)
+def test_an_ensemble_outside_its_pipeline_predicts_the_same(spark, learnable):
+    model = boost.fit_boosted(learnable, PREP, "y", n_estimators=8, num_leaves=6)
     prepared = PipelineModel(model.stages[:-1]).transform(learnable).select("k", "a_prep", "b_prep")
-    batches = sc.score_batches(prepared, sc.tree_predictor(sc.tree_arrays(model.stages[-1])), ["a_prep", "b_prep"])
+    batches = sc.score_batches(prepared, sc.ensemble_predictor(model.stages[-1]), ["a_prep", "b_prep"])
     own = sc.score(learnable, model).select("k", F.col("prediction").alias("own"))
     assert batches.join(own, "k").filter("prediction <> own").count() == 0
 
@@ -214,20 +215,21 @@ def test_baselines_and_permutation(spark, learnable):
 @pytest.mark.parametrize("name", ["gbt_score", "gbt_score_check", "gbt_importance", "tune_gbt"])
 def test_tree_queries_take_the_rounds_and_depths_of_the_search_space(spark, sf, monkeypatch, name):
     """The fit is replaced by a small one that notes what was asked for."""
-    asked, fit = [], train.fit_gbt
+    asked, fit = [], boost.fit_boosted_many
 
-    def small(rows, plan, label, **params):
-        asked.append(params)
-        return fit(rows, plan, label, **{**params, "maxIter": 1, "maxDepth": 2})
+    def small(rows, plan, label, trials):
+        asked.extend(trials)
+        return fit(rows, plan, label, [{**t, "n_estimators": 1, "num_leaves": 3} for t in trials])
 
-    monkeypatch.setattr(train, "fit_gbt", small)
+    monkeypatch.setattr(boost, "fit_boosted_many", small)
+    monkeypatch.setattr(tune, "fit_boosted_many", small)
     QUERIES[name](spark, sf).collect()
     assert len(asked) == (5 if name == "tune_gbt" else 1)
     first, stop = tune.SEARCH_SPACE["max_depth"][1:]
     for params in asked:
-        assert params["maxIter"] == tune.SEARCH_SPACE["n_estimators"]
-        assert params["minInstancesPerNode"] == tune.SEARCH_SPACE["min_child_samples"]
-        assert first <= params["maxDepth"] < stop
+        for key, fixed in tune.SEARCH_SPACE.items():
+            assert isinstance(fixed, tuple) or params[key] == fixed
+        assert first <= params["max_depth"] < stop
 
 
 def test_logistic_query_runs_to_its_end(spark, sf, monkeypatch):
@@ -250,12 +252,3 @@ def test_densities_of_a_continuous_column(spark, sf, by):
         assert r["density"] == pytest.approx(
             np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi)), rel=1e-5)
         assert lo - 1e-6 <= r["x"] <= hi + 1e-6
-
-
-def test_trees_are_scored_by_spark(spark, sf, monkeypatch):
-    fit = train.fit_gbt
-    monkeypatch.setattr(train, "fit_gbt", lambda *a, **params: fit(*a, **{**params, "maxIter": 2, "maxDepth": 3}))
-    for name in ("tree_arrays", "tree_predictor", "score_batches"):
-        monkeypatch.setattr(sc, name, lambda *a, **b: pytest.fail("scored outside Spark"))
-    got = QUERIES["score_batches_trees"](spark, sf).first()
-    assert got["n"] == got["agree"] == spark.read.parquet(f"{sf}/lineitem.parquet").count()

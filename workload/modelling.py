@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tabulon.operators import evaluate as ev
 from tabulon.operators import lookup as lk
 from tabulon.operators import score as sc
-from tabulon.operators import train, tune
+from tabulon.operators import boost, train, tune
 from tabulon.operators.prep import Prep
 from tabulon.operators.split import stratified_split
 from tabulon.plans.shared import scratch
@@ -136,8 +136,8 @@ def perm_importance(spark, d):
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PREP = Prep(FEATURES, ["l_discount", "l_tax"], remainder="pass")
 # the fixed values of the search space, 181 rounds among them, at its least depth, 10
-GBT = {**train.gbt_params({k: v for k, v in tune.SEARCH_SPACE.items() if not isinstance(v, tuple)}),
-       "maxDepth": tune.SEARCH_SPACE["max_depth"][1], "seed": 7}
+GBT = {**{k: v for k, v in tune.SEARCH_SPACE.items() if not isinstance(v, tuple)},
+       "max_depth": tune.SEARCH_SPACE["max_depth"][1]}
 
 
 def labelled_lines(spark, d):
@@ -147,7 +147,7 @@ def labelled_lines(spark, d):
 @query("gbt_score")
 def gbt_score(spark, d):
     rows = labelled_lines(spark, d)
-    model = train.fit_gbt(rows, PREP, "y", **GBT)
+    model = boost.fit_boosted(rows, PREP, "y", **GBT)
     uri = train.save_model(model, scratch(spark, "gbt"), rows.select(*FEATURES))
     return rounded(sc.score(rows, train.load_model(spark, uri), probability="p"))
 
@@ -155,16 +155,58 @@ def gbt_score(spark, d):
 @query("gbt_score_check", """
 SELECT l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_returnflag = 'R' AS INTEGER) AS y, true AS consistent FROM lineitem""")
 def gbt_score_check(spark, d):
-    """Every row is kept as it was, and the class is the one its probability says."""
+    """Every row is kept as it was, and the class is the one its probability says.
+
+    That is all its SQL can say of a whole fit; ``boost_one_split`` has SQL for the values of a first tree.
+    """
     rows = labelled_lines(spark, d)
-    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **GBT), probability="p")
+    scored = sc.score(rows, boost.fit_boosted(rows, PREP, "y", **GBT), probability="p")
     return scored.select(*FEATURES, "y", (F.col("p").between(0, 1) & (
         F.col("prediction") == (F.col("p") > 0.5).cast("int"))).alias("consistent"))
 
 
+FEW = ["l_quantity", "l_discount", "l_tax"]
+ONE_SPLIT = {"n_estimators": 1, "num_leaves": 2, "learning_rate": 0.5, "lambda_l1": 0.5, "lambda_l2": 2.0,
+             "path_smooth": 50.0, "min_child_samples": 35}
+_HIT = "sign({g}) * greatest(abs({g}) - 0.5, 0)"
+_OUT = f"-{_HIT} / ({{h}} + 2) * ({{n}} / 50.0) / ({{n}} / 50.0 + 1)"
+
+
+@query("boost_one_split", f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS q, l_discount::DOUBLE AS d, l_tax::DOUBLE AS t,
+  (l_returnflag = 'R')::INTEGER AS y FROM lineitem),
+b AS (SELECT avg(y) AS p, count(*) AS n, sum(y) AS s FROM x),
+u AS (SELECT 0 AS c, q AS v, y FROM x UNION ALL SELECT 1, d, y FROM x UNION ALL SELECT 2, t, y FROM x),
+v AS (SELECT c, v, count(*) AS n, sum(y) AS s FROM u GROUP BY c, v),
+l AS (SELECT c, v, sum(n) OVER o AS nl, sum(s) OVER o AS sl FROM v WINDOW o AS (PARTITION BY c ORDER BY v)),
+g AS (SELECT c, v, nl, b.n - nl AS nr, nl * p - sl AS gl, (b.n - nl) * p - (b.s - sl) AS gr, nl * p * (1 - p) AS hl,
+  (b.n - nl) * p * (1 - p) AS hr FROM l, b WHERE nl >= 35 AND b.n - nl >= 35),
+o AS (SELECT *, {_OUT.format(g='gl', h='hl', n='nl')} AS ol, {_OUT.format(g='gr', h='hr', n='nr')} AS r FROM g),
+k AS (SELECT c, v, ol, r, -(2 * {_HIT.format(g='gl')} * ol + (hl + 2) * ol * ol) - (2 * {_HIT.format(g='gr')} * r + (hr + 2) * r * r)
+  AS gain FROM o),
+w AS (SELECT * FROM k WHERE gain > 0 ORDER BY gain DESC, c, v LIMIT 1),
+z AS (SELECT x.*, ln(p / (1 - p)) + 0.5 * coalesce(CASE WHEN CASE w.c WHEN 0 THEN q WHEN 1 THEN d ELSE t END <= w.v
+  THEN ol ELSE r END, 0) AS m FROM x CROSS JOIN b LEFT JOIN w ON true)
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-m)), 6) AS p, (m > 0)::INTEGER AS prediction FROM z""")
+def boost_one_split(spark, d):
+    """One round of one split: its column, cut and smoothed leaf values, over all values of three columns."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *FEW, (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    model = boost.fit_boosted(rows, Prep(FEW, remainder="pass", scale=False), "y", **ONE_SPLIT)
+    return rounded(sc.score(rows, model, probability="p").select("l_orderkey", "l_linenumber", "p", "prediction"))
+
+
+@query("gbt_explain")
+def gbt_explain(spark, d):
+    """Shapley values of every row by an ensemble of the default size; they add up to the margin, as a test checks."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *FEATURES,
+                                              (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    told = boost.explain(rows, boost.fit_boosted(rows, PREP, "y", n_estimators=30), PREP.used())
+    return rounded(told.select("l_orderkey", "l_linenumber", "explanation.*"))
+
+
 @query("gbt_importance")
 def gbt_importance(spark, d):
-    model = train.fit_gbt(labelled_lines(spark, d), PREP, "y", **GBT)
+    model = boost.fit_boosted(labelled_lines(spark, d), PREP, "y", **GBT)
     return rounded(ev.importance(model, PREP.used()))
 
 
@@ -253,18 +295,23 @@ TRIALS = 5
 
 @query("tune_gbt")
 def tune_gbt(spark, d):
-    """Random search with real fits: tuned on a validation part of the training rows."""
+    """Random search with real fits: tuned on a validation part of the training rows, all trials in the same passes."""
     orders = table(spark, d, "orders").select(
         "o_orderkey", "o_totalprice", "o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
     outer = stratified_split(orders, "o_orderkey", "y", seed=2).filter("split = 'train'").drop("split")
     inner = stratified_split(outer, "o_orderkey", "y", seed=3)
     plan = Prep(["o_totalprice", "o_custkey"], remainder="pass")
+    return rounded(tune.run_boosted(inner.filter("split = 'train'"), inner.filter("split = 'test'"),
+                                    tune.sample_space(spark, TRIALS, seed=4), plan, "y"))
 
-    def fit(rows, params):
-        return train.fit_gbt(rows, plan, "y", **train.gbt_params(params))
 
-    return rounded(tune.run_trials(inner.filter("split = 'train'"), inner.filter("split = 'test'"),
-                                   tune.sample_space(spark, TRIALS, seed=4), fit, "y"))
+@query("suggest_trials")
+def suggest_trials(spark, d):
+    """Ten cuts that Parzen search proposes after twenty measured ones."""
+    rows = labelled_lines(spark, d)
+    trials = tune.sample_space(spark, 20, seed=9, space=RULE_SPACE)
+    runs = tune.run_trials(rows, rows, trials, lambda _, p: rule(f"l_discount > {p['cut']!r}D"), "y")
+    return rounded(tune.suggest(runs, 10, RULE_SPACE, seed=1))
 
 
 @query("cross_val", """
@@ -304,11 +351,13 @@ def score_batches(spark, d):
 
 @query("score_batches_trees", "SELECT count(*) AS n, count(*) AS agree FROM lineitem")
 def score_batches_trees(spark, d):
-    """A boosted-tree model applied by its own transform on Spark, its predictions beside its probabilities."""
+    """A fitted ensemble outside its pipeline, scored in Arrow batches, beside what the pipeline predicts."""
     rows = labelled_lines(spark, d)
-    scored = sc.score(rows, train.fit_gbt(rows, PREP, "y", **GBT), probability="p")
-    agree = F.col("p").between(0, 1) & (F.col("prediction") == (F.col("p") > 0.5).cast("int"))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.sum(agree.cast("long")).alias("agree"))
+    model = boost.fit_boosted(rows, PREP, "y", **{**GBT, "n_estimators": 20})
+    prepared = [f"{c}_prep" for c in PREP.used()]
+    own = model.transform(rows).select(*prepared, F.col("prediction").cast("int").alias("by_pipeline"))
+    both = sc.score_batches(own, sc.ensemble_predictor(model.stages[-1]), prepared)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("by_pipeline") == F.col("prediction")).cast("long")).alias("agree"))
 
 
 WORDY = "words > 100 AND digits * 20 < chars"
