@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from dataclasses import dataclass
@@ -74,6 +75,7 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.a_length, self.b_length = (np.array([len(x) for x in own]) for own in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = (np.array([str(i) for i in range(len(own))], object) for own in (self.a_bytes, self.b_bytes))
         self.space = self.b.piece_to_id(_SPACE)
 
     def segments(self, text: str) -> list[str]:
@@ -91,7 +93,40 @@ class Aligner:
                 [[p.id for p in ps] or [self.space] for ps in pieces], [[p.end + 1 for p in ps] or [1] for ps in pieces])
 
     def align(self, segments: list[str]) -> Segments:
-        """The segments aligned, in order."""
+        """The segments aligned, in order.
+
+        Most are encoded together, as one text that is cut where they meet; those that end in white space or hold the
+        sign that pieces use for the space go one by one, and all do if the joined bytes are not that text.
+        """
+        plain = [i for i, s in enumerate(segments) if s and not s[-1].isspace() and _SPACE not in s]
+        together = self._align_together([segments[i] for i in plain]) if plain else None
+        if together is None:
+            return self._align_each(segments)
+        if len(plain) == len(segments):
+            return together
+        other = sorted(set(range(len(segments))) - set(plain))
+        found = _joined([together, self._align_each([segments[i] for i in other])])
+        return _chosen(found, np.argsort(np.array(plain + other)))
+
+    def _align_together(self, segments: list[str]) -> Segments | None:
+        text = " ".join(segments)
+        coded = self.a.encode(" " + text, add_special_tokens=False)
+        pieces = self.b.encode([text], return_type="proto", num_threads=1)[0].pieces
+        whole = (" " + text).encode()
+        a_ids, b_ids = coded.ids, [p.id for p in pieces]
+        if not b"".join([self.a_bytes[i] for i in a_ids]) == whole == b"".join([self.b_bytes[i] for i in b_ids]):
+            return None
+        code = np.frombuffer((" " + text).encode("utf-32-le"), np.uint32)
+        at = np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))])
+        a_coarse = at[np.array([end for _, end in coded.offsets])].tolist()
+        zero = np.zeros(1, np.int64)
+        a_flat, a_ends = _ends([a_ids], [a_coarse], zero + len(a_ids), zero, self.a_length)
+        b_flat, b_ends = _ends([b_ids], [[p.end + 1 for p in pieces]], zero + len(b_ids), zero, self.b_length)
+        stops = np.cumsum([len(s.encode()) + 1 for s in segments])
+        per = [np.diff(np.searchsorted(ends, stops, side="right"), prepend=0) for ends in (a_ends, b_ends)]
+        return self._segments(np.ones(len(segments), bool), a_flat, a_ends, b_flat, b_ends, *per)
+
+    def _align_each(self, segments: list[str]) -> Segments:
         a_ids, a_coarse, b_ids, b_coarse = self._tokens(segments)
         texts = [(" " + s).encode() for s in segments]
         whole = np.ones(len(segments), bool)
@@ -107,16 +142,20 @@ class Aligner:
         base = np.cumsum([0] + [len(t) for t in texts])[:-1]
         a_flat, a_ends = _ends(a_ids, a_coarse, a_count, base, self.a_length)
         b_flat, b_ends = _ends(b_ids, b_coarse, b_count, base, self.b_length)
-        a_cut = np.isin(a_ends, b_ends, assume_unique=True)
-        b_cut = np.isin(b_ends, a_ends, assume_unique=True)
+        return self._segments(whole, a_flat, a_ends, b_flat, b_ends, a_count, b_count)
+
+    def _segments(self, whole, a_flat, a_ends, b_flat, b_ends, a_count, b_count) -> Segments:
+        """Groups and links of segments from all tokens and their ends."""
+        n = len(whole)
+        a_cut, b_cut = (np.isin(x, y, assume_unique=True, kind="sort") for x, y in ((a_ends, b_ends), (b_ends, a_ends)))
         # tokens of a side up to the end of each group; groups end with their segment at the latest
         a_stop, b_stop = np.flatnonzero(a_cut) + 1, np.flatnonzero(b_cut) + 1
         a_in, b_in = np.diff(a_stop, prepend=0), np.diff(b_stop, prepend=0)
-        owner = np.repeat(np.arange(len(segments)), a_count)[a_stop - 1]
+        owner = np.repeat(np.arange(n), a_count)[a_stop - 1]
         pairs, links, group = _links(a_flat, b_flat, a_stop, b_stop, a_in, b_in)
-        groups = np.bincount(owner, minlength=len(segments))
-        return Segments(whole, a_count, b_count, groups, _told(a_flat, b_flat, a_stop, b_stop, groups),
-                        np.bincount(owner[group], minlength=len(segments)), pairs, links)
+        groups = np.bincount(owner, minlength=n)
+        told = _told(self.a_names[a_flat].tolist(), self.b_names[b_flat].tolist(), a_stop, b_stop, groups)
+        return Segments(whole, a_count, b_count, groups, told, np.bincount(owner[group], minlength=n), pairs, links)
 
 
 def _ends(ids, coarse, count, base, length) -> tuple[np.ndarray, np.ndarray]:
@@ -158,16 +197,18 @@ def _links(a, b, a_stop, b_stop, a_in, b_in) -> tuple[np.ndarray, np.ndarray, np
     return pairs, links, group
 
 
-def _told(a, b, a_stop, b_stop, groups) -> list[str]:
+def _told(left: list[str], right: list[str], a_stop, b_stop, groups) -> list[str]:
     """Each segment's groups as text."""
-    left, right = [str(i) for i in a.tolist()], [str(i) for i in b.tolist()]
     parts, i, j = [], 0, 0
     for k, m in zip(a_stop.tolist(), b_stop.tolist()):
-        parts.append(f"{left[i] if k - i == 1 else ','.join(left[i:k])}|{right[j] if m - j == 1 else ','.join(right[j:m])}")
+        if k - i == 1 and m - j == 1:
+            parts.append(f"{left[i]}|{right[j]}")
+        else:
+            parts.append(f"{','.join(left[i:k])}|{','.join(right[j:m])}")
         i, j = k, m
     out, at = [], 0
     for n in groups.tolist():
-        out.append(";".join(parts[at:at + n]))
+        out.append(parts[at] if n == 1 else ";".join(parts[at:at + n]))
         at += n
     return out
 
@@ -277,6 +318,14 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_model: str, id_col: str =
     names = ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "links"]
 
     def run(batches):
+        # nothing here makes reference cycles, and looking for them among many tokens takes time
+        gc.disable()
+        try:
+            yield from told(batches)
+        finally:
+            gc.enable()
+
+    def told(batches):
         table, row = _Table(Aligner(byte_tokenizer, piece_model)), TaskContext.get().partitionId() << 33
         for batch in batches:
             at = 0
