@@ -20,7 +20,7 @@ BITS = 15
 SIZE = 1 << BITS
 # Rated rows that the model is fitted to at most, drawn by a hash of the id.
 FIT_ROWS = 20_000
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 17
 _KINDS = [(re.compile(p), r) for p, r in ((rb"[a-z\x80-\xff]+", b"a"), (rb"[A-Z]+", b"A"), (rb"[0-9]+", b"0"))]
 
 

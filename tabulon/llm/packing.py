@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 from bisect import bisect_left, insort
+from itertools import chain, repeat
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,36 +19,73 @@ TIERS = (256, 512, 1024, 2048)
 # Tokens that wait for a partner at most, in each task.
 POOL_TOKENS = 1 << 16
 STEP_WINDOWS = 16
-_REMEMBERED = 1 << 19
+# Pieces that a worker process remembers at most, some 200 bytes each.
+_REMEMBERED = 1 << 18
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes, by pieces between white space, remembered.
+    """Token ids of texts, by pieces between white space; at most _REMEMBERED pieces are remembered.
 
-    The tokenizer's own rules never reach over white space, so its ids of a text are those of the pieces.
+    The tokenizer's own rules never reach over white space, so its ids of a text are those of the pieces.  Pieces of
+    a batch are told apart in Arrow, new ones are tokenised once, and ids are gathered for all texts together.  When
+    the table is full, new pieces serve the batch at hand only; when four times as many were new as it holds, it
+    starts anew, so that it follows a change of language.
     """
 
     def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.end = end.to_bytes(4, "little")
-
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        pieces = [(t or b"").split() for t in texts]
-        missing = list({p for one in pieces for p in one if p not in self.known})
-        if len(self.known) + len(missing) > _REMEMBERED:
-            self.known.clear()
-            missing = list({p for one in pieces for p in one})
-        if missing:
-            coded = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in missing], add_special_tokens=False)
-            self.known.update((p, b"".join(i.to_bytes(4, "little") for i in c.ids)) for p, c in zip(missing, coded))
-        get = self.known.__getitem__
-        return [b"".join(map(get, one)) + self.end for one in pieces]
-
-
-@functools.lru_cache(maxsize=2)
+        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        rules = json.loads(self.tokenizer.to_str())["normalizer"] or {}
+        # a tokenizer that takes capitals for small letters has one table entry for both
+        self.lower = any(r.get("type") == "Lowercase" for r in rules.get("normalizers", [rules]))
+        self._clear()
+
+    def _clear(self):
+        self.place: dict[str, int] = {"": 0}
+        self.ids, self.counts, self.strangers = np.zeros(0, np.uint32), np.zeros(1, np.int64), 0
+
+    def _coded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        counts = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter(chain.from_iterable(coded), np.uint32, int(counts.sum())), counts
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (binary UTF-8), closed by ``end``."""
+        whole = texts.cast(pa.string()).fill_null("")
+        whole = pc.ascii_lower(whole) if self.lower else whole
+        split = pc.ascii_split_whitespace(whole)
+        coded = split.flatten().dictionary_encode()
+        if self.strangers > 4 * len(self.place):
+            self._clear()
+        pieces = coded.dictionary.to_pylist()
+        place = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(place < 0)
+        ids, counts = self.ids, self.counts
+        if len(new):
+            missing = [pieces[i] for i in new.tolist()]
+            new_ids, new_counts = self._coded(missing)
+            place[new] = np.arange(len(counts), len(counts) + len(new))
+            ids, counts = np.concatenate([ids, new_ids]), np.concatenate([counts, new_counts])
+            if len(self.place) + len(new) <= _REMEMBERED:
+                self.place.update(zip(missing, range(len(self.counts), len(counts))))
+                self.ids, self.counts = ids, counts
+            else:
+                self.strangers += len(new)
+        at = place[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+        n = counts[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        begin = (np.cumsum(counts) - counts)[at]
+        flat = ids[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
+        # the lists of a slice count from its first one
+        of_text = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        close = np.array([self.end], np.uint32)
+        stops = ends[of_text].tolist()
+        return [np.concatenate([flat[i:j], close]) for i, j in zip(stops, stops[1:])]
+
+
+@functools.lru_cache(maxsize=1)
 def encoder(path: str, end: int) -> Encoder:
     """One encoder for all tasks of a worker process: the file is read once, and pieces stay known."""
     return Encoder(path, end)
@@ -59,8 +100,8 @@ class Packer:
 
     def _put(self, doc, start, ids, total):
         self.number += 1
-        insort(self.pool, (len(ids) // 4, self.number, doc, start, ids, total), key=lambda p: p[:2])
-        self.waiting += len(ids) // 4
+        insort(self.pool, (len(ids), self.number, doc, start, ids, total), key=lambda p: p[:2])
+        self.waiting += len(ids)
 
     def _take(self, at):
         piece = self.pool.pop(at)
@@ -76,19 +117,19 @@ class Packer:
                 piece = self._take(at)
             else:  # nothing fits: the shortest waiting piece fills the gap, its rest is routed again
                 _, _, doc, start, ids, total = self._take(0)
-                self._put(doc, start + gap, ids[4 * gap:], total)
-                piece = (gap, 0, doc, start, ids[:4 * gap], total)
+                self._put(doc, start + gap, ids[gap:], total)
+                piece = (gap, 0, doc, start, ids[:gap], total)
             window.append(piece)
             gap -= piece[0]
         return window
 
     def add(self, doc, ids):
-        total, start = len(ids) // 4, 0
+        total, start = len(ids), 0
         while total - start >= self.most:
-            yield [(self.most, 0, doc, start, ids[4 * start:4 * (start + self.most)], total)]
+            yield [(self.most, 0, doc, start, ids[start:start + self.most], total)]
             start += self.most
         if start < total:
-            self._put(doc, start, ids[4 * start:], total)
+            self._put(doc, start, ids[start:], total)
         while self.waiting > self.pool_tokens:
             yield self._next()
 
@@ -158,7 +199,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
                 offset, size = 0, sum(p[0] for p in window)
                 tier = size if size in tiers else tiers[-1]
                 for length, _, doc, start, ids, total in window:
-                    rows.append((doc, start, length, ids, total, first + count, offset, tier, first + step))
+                    rows.append((doc, start, length, ids.astype("<u4").tobytes(), total, first + count, offset, tier, first + step))
                     offset += length
                 count += 1
 
@@ -170,7 +211,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1))):
                     for window in packer.add(doc, ids):
                         deal(steps.add(window))
                 if rows:

@@ -22,7 +22,7 @@ AROUND = 6
 STEM = range(4, 9)
 _WORD = re.compile(r"[^\W_]+")
 _QUOTES = "\"“”„«»‹›`"
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 17
 FEATURES = ["bias", "plain", "fuzzy", "quoted", "quoted_fuzzy", "near", "share"]
 
 

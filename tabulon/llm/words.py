@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 # Two odd bases of polynomial hashes modulo 2**64; together they name a window by 128 bits.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_REMEMBERED = 1 << 20
+# Words that a table of codes holds at most, some 180 bytes each.
+_REMEMBERED = 1 << 17
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
