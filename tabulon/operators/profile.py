@@ -202,9 +202,9 @@ def bin_edges(df: DataFrame, cols, bins="auto", quartiles: DataFrame | None = No
 
 
 def bin_index(col, lo: float, hi: float, count: int):
-    """0-based equal-width bin; the last bin is closed."""
+    """0-based equal-width bin; the last bin is closed; a missing value has none."""
     width = (hi - lo) / count
-    return F.least(F.floor((col - F.lit(lo)) / F.lit(width)), F.lit(count - 1)).cast("long")
+    return F.when(col.isNotNull(), F.least(F.floor((col - F.lit(lo)) / F.lit(width)), F.lit(count - 1)).cast("long"))
 
 
 def histogram(df: DataFrame, cols, bins="auto", by=None, quartiles: DataFrame | None = None,

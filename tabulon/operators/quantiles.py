@@ -9,14 +9,16 @@ the counts are taken again with nothing folded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.columns import number
 from tabulon.plans.ordered import running
-from tabulon.plans.shared import settle
+from tabulon.plans.shared import materialise, settle
 
 ACCURACY = 10_000
+# Counted values of one column (and group) that are ranked in one window at most, three numbers each.
+RANKED_TOGETHER = 200_000
 
 
 def cells_of(df: DataFrame, cols, by=()) -> DataFrame:
@@ -47,14 +49,19 @@ def _brackets(df, cols, probs, by, accuracy, also):
         *also("value"))
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY, also=lambda c: {}) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, by=(), accuracy: int = ACCURACY, also=lambda c: {},
+                    brackets: DataFrame | None = None) -> DataFrame:
     """(by..., column, n, q0, q1, ..., also...): linearly interpolated quantiles of the non-missing values.
 
+    ``brackets`` (column, n, lo0, hi0, ...), from a stored sketch say, save the sketch pass; they need not be right.
+
     ``also`` maps a column to further aggregates of it, {name: expression}, taken in the sketch pass.
     The frame is read twice: hand in a stored table, or ``materialise`` a costly one first.
     """
     cols, by, probs = list(cols), list(by), sorted(probs)
-    brackets, rows = settle(_brackets(df, cols, probs, by, accuracy, also), bounded=not by)
+    if brackets is None:
+        brackets = _brackets(df, cols, probs, by, accuracy, also)
+    brackets, rows = settle(brackets, bounded=not by)
     if rows is None:
         longest = brackets.agg(F.max("n")).first()[0] or 0
         brackets_side = brackets
@@ -86,6 +93,17 @@ def join_same(left: DataFrame, right: DataFrame, names, how: str = "left") -> Da
     return left.join(renamed, cond, how).drop(*[f"_r_{n}" for n in names])
 
 
+def _ranked(counts, by, longest):
+    """Running counts of the counted values; how many there are is known only once they are stored."""
+    if longest > RANKED_TOGETHER:
+        counts = materialise(counts, "values")
+        longest = counts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if longest > RANKED_TOGETHER:
+        return running(counts, ["v", "at"], by=by, sums={"upto": "m"})
+    upto = Window.partitionBy(*by).orderBy("v", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("upto", F.sum("m").over(upto))
+
+
 def _select(df, cols, probs, by, brackets, longest, fold):
     k = len(probs)
     keyed = brackets.select(*[F.col(b).alias(f"_b_{b}") for b in by], F.col("column").alias("_b_column"),
@@ -112,7 +130,7 @@ def _select(df, cols, probs, by, brackets, longest, fold):
     marked = on(long_form(df, cols, by)).select(*by, "column", place.alias("p"))
     counts = marked.groupBy(*by, "column", F.col("p.v").alias("v"), F.col("p.at").alias("at")).agg(
         F.count(F.lit(1)).alias("m"))
-    ranked = running(counts, ["v", "at"], by=[*by, "column"], sums={"upto": "m"}, longest=longest)
+    ranked = _ranked(counts, [*by, "column"], longest)
     with_n = on(ranked)
     aggs = []
     for j, p in enumerate(probs):

@@ -54,3 +54,8 @@ def test_small_files_are_whole_and_not_replaced(spark, tmp_path):
         files.write(f"{tmp_path}/log/1.json", "two")
     assert files.read(f"{tmp_path}/log/1.json") == "one"
     assert files.names(f"{tmp_path}/log") == ["1.json"]
+
+
+def test_missing_values_are_in_no_bin(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(None,)] * 7, "x double")
+    assert profile.histogram(df, ["x"], bins=5).agg(F.sum("n")).first()[0] == 10

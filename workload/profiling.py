@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulon.operators import corr, profile
+from tabulon.operators import corr, phik, profile, profile_state
 from tabulon.operators.shape import zero_to_null
 from tabulon.plans.shared import materialise
 from workload.registry import query, r, rounded, table
@@ -456,3 +456,71 @@ def alerts(spark, d):
     prof = profile.profile_columns(frame, ["o_orderkey", "one", "z", "gaps"])
     matrix = corr.corr_matrix(frame, ["o_totalprice", "twin", "o_orderkey"])
     return rounded(profile.alerts(prof, matrix, high=0.9))
+
+
+@query("full_profile", f"""
+WITH p AS (SELECT "column", count(*) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+  round(skewness(value), 4) AS skewness, min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.05), 4) AS p05,
+  round(quantile_cont(value, 0.95), 4) AS p95 FROM ({LINES_LONG}) GROUP BY 1)
+SELECT * FROM p JOIN ({_box_sql(LINES_LONG)}) b USING ("column")""")
+def full_profile(spark, d):
+    """Statistics and box statistics of one full profile: three scans for all of its parts."""
+    full = profile_state.full_profile(lines(spark, d), MEASURES)
+    stats = full.statistics.select("column", "count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"),
+                                   r(F.col("skewness"), 4).alias("skewness"), "min", "max",
+                                   r(F.col("p05"), 4).alias("p05"), r(F.col("p95"), 4).alias("p95"))
+    return stats.join(rounded(full.box, 4), "column")
+
+
+@query("full_profile_histogram", f"""
+WITH v AS ({LINES_LONG}), e AS ({_edges_sql(LINES_LONG)}),
+c AS (SELECT v."column", lo, (hi - lo) / k AS w, CAST(least(floor((value - lo) / ((hi - lo) / k)), k - 1) AS BIGINT) AS bin, count(*) AS n
+  FROM v JOIN e ON v."column" = e."column" GROUP BY 1, 2, 3, 4)
+SELECT "column", bin, round(lo + bin * w, 6) AS "left", round(lo + (bin + 1) * w, 6) AS "right", n FROM c""")
+def full_profile_histogram(spark, d):
+    return rounded(profile_state.full_profile(lines(spark, d), MEASURES).histogram)
+
+
+@query("full_profile_corr", " UNION ALL ".join(
+    f"""SELECT '{a}' AS "column", '{b}' AS other, round(corr({a}, {b}), 6) AS corr FROM lineitem""" for a, b in _pairs(MEASURES)))
+def full_profile_corr(spark, d):
+    return rounded(profile_state.full_profile(lines(spark, d), MEASURES).correlation)
+
+
+@query("merged_profile", f"""
+SELECT "column", count(*) AS count, count(*) FILTER (value = 0) AS zeros, round(avg(value), 7) AS mean, min(value) AS min,
+  max(value) AS max, round(stddev_samp(value), 4) AS std, round(skewness(value), 4) AS skewness,
+  round(kurtosis(value), 4) AS kurtosis, true AS median_close, true AS distinct_close
+FROM ({LINES_LONG}) GROUP BY "column" """)
+def merged_profile(spark, d):
+    """States of the rows of each flag and status, merged: exact parts as they are, sketched ones by what must hold."""
+    states = profile_state.profile_states(lines(spark, d), MEASURES, ["l_returnflag", "l_linestatus"])
+    p = profile_state.statistics(profile_state.merge_states(materialise(states, "states")))
+    held = {x["column"]: (x["median"], x["distinct"]) for x in p.select("column", "median", "distinct").collect()}
+    close = lines(spark, d).agg(*[F.struct(
+        ((F.sum((F.col(c) < held[c][0]).cast("long")) <= F.count(c) * 0.502)
+         & (F.sum((F.col(c) <= held[c][0]).cast("long")) >= F.count(c) * 0.498)).alias("median_close"),
+        (F.abs(F.count_distinct(c) - held[c][1]) <= F.count_distinct(c) * 0.1 + 1).alias("distinct_close")).alias(c) for c in MEASURES])
+    close = close.unpivot([], MEASURES, "column", "c").select("column", "c.*")
+    return rounded(rounded(p.join(close, "column").select(
+        "column", "count", "zeros", "mean", "min", "max", "std", "skewness", "kurtosis", "median_close", "distinct_close"),
+        7, ("mean",)), 4, ("std", "skewness", "kurtosis"))
+
+
+PHIK_COLS = ["l_quantity", "l_discount", "l_returnflag", "l_linestatus"]
+_TENTHS = ", ".join(f"{i / 10}" for i in range(1, 10))
+
+
+@query("phik_tables", "WITH e AS (SELECT " + ", ".join(
+    f"list_distinct(quantile_cont({c}::DOUBLE, [{_TENTHS}])) AS q_{c}" for c in PHIK_COLS[:2]) + " FROM lineitem), l AS (SELECT " + ", ".join(
+    [f"CAST(len(list_filter(q_{c}, lambda q: {c} > q)) AS VARCHAR) AS {c}" for c in PHIK_COLS[:2]] + PHIK_COLS[2:]) + " FROM lineitem, e) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, {a} AS a, {b} AS b, count(*) AS m FROM l GROUP BY {a}, {b}" for a, b in _pairs(PHIK_COLS)))
+def phik_tables(spark, d):
+    """The contingency tables that phi_k is solved from."""
+    return phik.cells_of_pairs(lines(spark, d), PHIK_COLS)
+
+
+@query("phik_matrix")
+def phik_matrix(spark, d):
+    """phi_k of all pairs of numeric and text columns; a test compares known values."""
+    return rounded(phik.phik_matrix(lines(spark, d), [*MEASURES, "l_returnflag", "l_linestatus"]))
