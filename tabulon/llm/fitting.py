@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabulon.plans.shared import materialise
 
 
 def minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, rounds: int = 40,
@@ -45,3 +49,15 @@ def minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.n
 
 def sigmoid(z):
     return 0.5 * (1 + np.tanh(0.5 * np.asarray(z, float)))
+
+
+def drawn(labelled: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` of the rows of a frame with one row per doc_id, by the least hashes of the id.
+
+    The count sets a threshold of the hash that leaves a little more than are wanted, and these few are ordered; so no
+    partition sends more than its share.
+    """
+    stored = materialise(labelled, "labelled")
+    share = 1.1 * rows / max(1, stored.count()) + 1e-9
+    few = stored if share >= 1 else stored.filter(F.xxhash64("doc_id") < F.lit(int((share - 0.5) * 2.0 ** 64)))
+    return few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

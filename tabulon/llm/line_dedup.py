@@ -13,6 +13,10 @@ from tabulon.plans.shared import broadcast_if_small, materialise
 COUNTS = 1 << 20
 # Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
 IDS_BROADCAST = 1_000_000
+# Words of several classes sent to every executor at most, 12 bytes each; beyond that the lines' words are shuffled.
+WORDS_BROADCAST = 1_000_000
+# Lines under one word that are settled in one window, about; the lines of a common word are dealt to several.
+TOGETHER = 10_000
 _ADDED = ("n_lines", "n_removed")
 _SPACE = "[\\t-\\r ]+"
 _FACTS = ["doc_id", "line", "n", "bits", "more", "at"]
@@ -90,8 +94,8 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(under: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each line with three earlier ones under each of its rarest words: first, last and most copied."""
-    order = W.partitionBy("word").orderBy("doc_id", "line")
+    """Pairs of each line with three earlier ones of its part under each of its rarest words: first, last and most copied."""
+    order = W.partitionBy("word", "part").orderBy("doc_id", "line")
     line = F.struct("copies", *_FACTS)
     rows = under.select(*[F.col(c).alias(f"b_{c}") for c in _FACTS], F.array_distinct(F.array_compact(F.array(
         F.when(F.row_number().over(order) > 1, F.first(line).over(order)), F.lag(line).over(order),
@@ -122,15 +126,24 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
         F.count("*").alias("copies")).select("s1", "s2", "copies", "first.*"),
         "heads")
     at_line = ["doc_id", "line"]
-    under = heads.select("copies", *_FACTS[:-1], F.posexplode("head").alias("at", "word"))
+    # only words of several classes meet anything; they are counted before the facts of the lines are shuffled by word
+    words = materialise(heads.select(F.explode("head").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+                        .filter("n > 1").select("word", F.expr(f"int(ceil(n / {TOGETHER}))").alias("parts")), "words")
+    shared = broadcast_if_small(words, WORDS_BROADCAST)
+    under = heads.select("copies", *_FACTS[:-1], F.posexplode("head").alias("at", "word")).join(shared, "word").withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", "line"), "parts"))
     near = materialise(_near(under, percent), "near")
     done = materialise(_confirm(near, docs, percent).select(F.col("b_doc").alias("doc_id"),
                                                             F.col("b_line").alias("line")), "done")
+    # sizes in percent of each other fall into one band or two neighbours, so a join task holds one band of a word
+    band = f"cast(floor(ln({{}}) / ln({100 / percent!r})) as int)" if percent < 100 else "{}"
     probes = heads.join(done, at_line, "left_anti").select(
-        *[F.col(c).alias(f"b_{c}") for c in _FACTS[:-1]], F.posexplode("head").alias("b_at", "word"))
-    under = under.select("word", *[F.col(c).alias(f"a_{c}") for c in _FACTS])
+        *[F.col(c).alias(f"b_{c}") for c in _FACTS[:-1]], F.posexplode("head").alias("b_at", "word")).join(
+        shared.select("word"), "word").withColumn("band", F.explode(F.expr(
+            f"transform(array(-1, 0, 1), d -> {band.format('b_n')} + d)")))
+    under = under.select("word", F.expr(band.format("n")).alias("band"), *[F.col(c).alias(f"a_{c}") for c in _FACTS])
     earlier = F.expr("a_doc_id < b_doc_id or (a_doc_id = b_doc_id and a_line < b_line)")
-    rest = probes.join(under, "word").filter(earlier & _possible("a_", "b_", percent)).selectExpr(*_ENDS).distinct()
+    rest = probes.join(under, ["word", "band"]).filter(earlier & _possible("a_", "b_", percent)).selectExpr(*_ENDS).distinct()
     more = _confirm(materialise(rest.join(near, _PAIR, "left_anti"), "rest"), docs, percent)
     found = done.unionByName(more.select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line")))
     kept = heads.select("s1", "s2", *at_line).join(found, at_line, "left_anti")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.fitting import minimise, sigmoid
+from tabulon.llm.fitting import drawn, minimise, sigmoid
 from tabulon.llm.words import per_batch
 from tabulon.plans.shared import materialise
 
@@ -101,9 +101,8 @@ def fit_ordinal(docs: DataFrame, ratings: DataFrame, grade: str = "grade", id_co
     rated = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{grade}`").cast("int").alias("grade"))
     rated = rated.filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(
         F.min("grade").alias("grade"))
-    drawn = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     rows_ = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t")).join(
-        F.broadcast(drawn), "doc_id")
+        F.broadcast(drawn(rated, rows)), "doc_id")
 
     def vectors(kept, texts):
         features = features_of_words()

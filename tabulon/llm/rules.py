@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.llm.fitting import drawn
 from tabulon.llm.words import Codes, Rolling, per_batch, shared_codes
 from tabulon.plans.shared import materialise
 
@@ -127,23 +128,53 @@ def _grow(x: np.ndarray, bad: np.ndarray, names: list[str], most: int, steps: in
     return rule
 
 
+def _simple(rule: list) -> list:
+    """One bound of a kind for each ratio, the tightest, where the first of them stood."""
+    tight: dict = {}
+    for name, sign, limit in rule:
+        tight[name, sign] = limit if (name, sign) not in tight else sign * max(sign * limit, sign * tight[name, sign])
+    return [(name, sign, limit) for (name, sign), limit in tight.items()]
+
+
+def _pruned(rule: list, worth) -> list[list]:
+    """The rule, and what is left of it as the conditions that serve least are taken out one by one."""
+    found = [rule]
+    while len(found[-1]) > 1:
+        shorter = [found[-1][:i] + found[-1][i + 1:] for i in range(len(found[-1]))]
+        found.append(max(shorter, key=lambda r: (worth(r)[0] / max(worth(r)[1], 1), worth(r)[0])))
+    return found
+
+
 def learn(x: np.ndarray, bad: np.ndarray, names: list[str], seed: int = 7, precision: float = 0.95, support: int = 5,
           rules: int = 16, conditions: int = 4, steps: int = 256) -> DecisionList:
-    """Sequential covering: grow a conjunction on two thirds of the rows, cut its tail back to what serves the
-    other third best, keep it if it is precise there, take out what it covers, and go on."""
+    """Sequential covering: grow a conjunction on two thirds of the rows, take out conditions as serves the other
+    third best, keep it if it is precise there, take out what it covers, and go on.
+
+    A rule that is not precise is set aside with the bad rows that it covers, and the next one is grown from the
+    others.  ``rules``, ``conditions`` and ``steps`` bound the size of the list, of a rule, and the cuts tried for a
+    ratio: rows that only more of them would tell apart are kept.
+    """
     found, left = DecisionList(), np.ones(len(x), bool)
     part = np.random.default_rng(seed).permutation(len(x)) % 3 > 0
-    while len(found.rules) < rules and (left & bad & part).sum() >= support:
-        rule = _grow(x[left & part], bad[left & part], names, conditions, steps)
+    aside = np.zeros(len(x), bool)
+    while len(found.rules) < rules and (left & bad & part & ~aside).sum() >= support:
+        seen = left & part & ~aside
+        rule = _simple(_grow(x[seen], bad[seen], names, conditions, steps))
+        if not rule:
+            break
 
         def worth(r):
             met = _met(x, r, names) & left & ~part
             return (met & bad).sum(), met.sum()
 
-        options = [(rule[:k], *worth(rule[:k])) for k in range(1, len(rule) + 1)]
+        options = [(r, *worth(r)) for r in _pruned(rule, worth)]
         options = [(g / max(n, 1), g, r) for r, g, n in options if g >= support / 2 and g >= precision * n]
         if not options:
-            break
+            covered = _met(x, rule, names) & seen & bad
+            if not covered.any():
+                break
+            aside |= covered
+            continue
         rule = max(options, key=lambda o: (round(o[0], 3), o[1], -len(o[2])))[2]
         found.rules.append(rule)
         left &= ~_met(x, rule, names)
@@ -155,11 +186,10 @@ def fit_rules(stats: DataFrame, labels: DataFrame, good: str = "quality", rows:
     wanted = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{good}`").alias("good")).filter(
         "good is not null and doc_id is not null").groupBy("doc_id").agg(F.min("good").alias("good"))
     # of several texts of an id the least by its counts
-    single = stats.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("good").alias("good"),
-                                                                F.min(F.struct(*COUNTS)).alias("c"))
-    sample = (single.select("doc_id", "good", "c.*").select("doc_id", "good", *[
-        c.alias(n) for n, c in ratios().items()]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    got = sample.collect()
+    single = stats.join(drawn(wanted, rows), "doc_id").groupBy("doc_id").agg(F.min("good").alias("good"),
+                                                                             F.min(F.struct(*COUNTS)).alias("c"))
+    sample = single.select("doc_id", "good", "c.*").select("doc_id", "good", *[c.alias(n) for n, c in ratios().items()])
+    got = sample.orderBy("doc_id").collect()  # at most ``rows``
     names = list(RATIOS)
     x = np.array([[r[n] for n in names] for r in got], float).reshape(-1, len(names))
     bad = np.array([r.good == 0 for r in got], bool)

@@ -175,10 +175,10 @@ def reader(terms: tuple[str, ...], common: frozenset[str]) -> Reader:
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """(half, y, t): the drawn labelled texts; one half teaches the lexicon, the other the weights."""
-    drawn = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y"))
-    drawn = (drawn.filter("doc_id is not null and y in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2")
-             .groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.join(F.broadcast(drawn), "doc_id").select(
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y"))
+    known = (known.filter("doc_id is not null and y in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2")
+             .groupBy("doc_id").agg(F.max("y").alias("y")))
+    return docs.join(F.broadcast(drawn(known, rows)), "doc_id").select(
         F.expr("int(pmod(xxhash64(doc_id, 1), 2))").alias("half"), "y", F.col("text").alias("t"))
 
 

@@ -56,3 +56,37 @@ def test_without_labels_or_rows(spark):
     out = rules.judge(docs, none).select("doc_id", "base_failed", "kept", "rule")
     assert sorted(map(tuple, out.collect())) == [(1, False, True, None), (2, True, False, None), (3, True, False, None)]
     assert rules.judge(docs.limit(0), none).count() == 0
+
+
+def test_the_list_goes_on_after_a_rule_that_is_not_precise():
+    """The first rule grown is right on the growing rows only; the next one is found all the same."""
+    rng = np.random.default_rng(4)
+    n = 900
+    x = np.column_stack([rng.random(n), rng.random(n)])
+    part = np.random.default_rng(7).permutation(n) % 3 > 0
+    bad = (x[:, 1] > 0.8) & (rng.random(n) < 0.99)
+    # junk of the growing rows that the pruning rows do not confirm
+    lure = x[:, 0] > 0.7
+    bad = np.where(lure & part, True, bad)
+    found = rules.learn(x, bad, ["a", "b"])
+    assert any(name == "b" and sign > 0 and 0.7 < limit < 0.9 for rule in found.rules for name, sign, limit in rule)
+    assert not any([name for name, _, _ in rule] == ["a"] for rule in found.rules)
+
+
+def test_rules_hold_one_bound_of_a_kind():
+    assert rules._simple([("a", -1, 0.6), ("b", 1, 2.0), ("a", -1, 0.5), ("a", 1, 0.1), ("b", 1, 1.0)]) == [
+        ("a", -1, 0.5), ("b", 1, 2.0), ("a", 1, 0.1)]
+    ok = {("b",): (9, 9), ("a", "b"): (5, 6), ("a",): (5, 9)}
+    short = rules._pruned([("a", 1, 0.0), ("b", 1, 0.0)], lambda r: ok[tuple(n for n, _, _ in r)])
+    assert short[-1] == [("b", 1, 0.0)]
+
+
+def test_the_drawn_rows_are_those_of_the_least_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from tabulon.llm.fitting import drawn
+
+    ids = spark.range(5000).withColumnRenamed("id", "doc_id")
+    want = [r[0] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(300).collect()]
+    assert sorted(r[0] for r in drawn(ids, 300).collect()) == sorted(want)
+    assert drawn(ids.limit(10), 300).count() == 10 and drawn(ids.limit(0), 300).count() == 0
