@@ -15,7 +15,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in ``gone``; rows without a doc_id stay."""
+    """The documents whose doc_id is not in ``gone``; rows without a doc_id stay, rows that share one go together."""
     own = free_name("gone_id", docs.columns)
     return docs.join(gone.select(F.col("doc_id").alias(own)).distinct(), docs.doc_id == F.col(own), "left_anti")
 
@@ -29,7 +29,9 @@ def line_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Lines that an earlier line matches are cut; a document of which no word is left goes."""
     cut = line_dedup.drop_later_lines(docs)
     left = cut.filter("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
