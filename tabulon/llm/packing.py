@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 from bisect import bisect_left, insort
@@ -20,7 +21,9 @@ TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 1 << 16
 STEP_WINDOWS = 16
 # Pieces that a worker process remembers at most, some 200 bytes each.
-_REMEMBERED = 1 << 18
+_REMEMBERED = 3 << 17
+# Bytes of text that are told apart together, but for one text, which stays whole.
+_TOGETHER = 8 << 20
 
 
 class Encoder:
@@ -169,6 +172,14 @@ class Steps:
         return [(self.step, w) for size in sorted(self.held, reverse=True) for w in self.held[size]]
 
 
+def _parts(batch: pa.RecordBatch):
+    """Consecutive rows with about _TOGETHER bytes of text."""
+    number = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // _TOGETHER
+    starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist() if batch.num_rows else []
+    for at, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(at, end - at)
+
+
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", end: int = 1,
          tiers: tuple[int, ...] = TIERS, step_windows: int = STEP_WINDOWS) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset, tier, step): where each piece of a text goes.
@@ -189,6 +200,14 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
                         ("tier", pa.int32()), ("step", pa.int64())])
 
     def run(batches):
+        # nothing here makes reference cycles, and looking for them among many tokens takes time
+        gc.disable()
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
+    def packed(batches):
         first = TaskContext.get().partitionId() << 36
         encode, packer, steps = encoder(tokenizer, end), Packer(tiers), Steps(tiers[-1], step_windows)
         rows, count = [], 0
@@ -209,8 +228,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for part in _parts(b):
                 for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1))):
                     for window in packer.add(doc, ids):
                         deal(steps.add(window))
