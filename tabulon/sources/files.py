@@ -45,3 +45,8 @@ class SmallFiles:
             return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
+
+    def delete(self, path: str) -> None:
+        """Remove a file, or a folder with all it holds."""
+        fs, p = self._open(path)
+        fs.delete(p, True)

@@ -46,8 +46,7 @@ class VersionedTable:
 
     def version(self) -> int:
         """The current version; 0 before the first write."""
-        names = self._files.names(f"{self.path}/_commits")
-        return max((int(n[:8]) for n in names if n.endswith(".json") and n[:8].isdigit()), default=0)
+        return max(self.versions(), default=0)
 
     def info(self, version: int | None = None) -> dict:
         version = version or self.version()
@@ -62,10 +61,26 @@ class VersionedTable:
         folder = f"data/{base + 1:08d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{folder}")
         rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()  # from the file footers
-        self._files.write(f"{self.path}/_commits/{base + 1:08d}.json", json.dumps(
-            {**info, "folder": folder, "rows": rows}))
+        return self.commit(base, **info, folder=folder, rows=rows)
+
+    def commit(self, base: int, **info) -> int:
+        """Make what ``info`` describes the version after ``base``; fails if there is one already."""
+        self._files.write(f"{self.path}/_commits/{base + 1:08d}.json", json.dumps(info))
         return base + 1
 
+    def versions(self) -> list[int]:
+        return sorted(int(n[:8]) for n in self._files.names(f"{self.path}/_commits") if n.endswith(".json") and n[:8].isdigit())
+
+    def forget(self, version: int) -> None:
+        """Remove a version's commit file, not its data; the current version stays."""
+        if version == self.version():
+            raise ValueError("the current version cannot be removed")
+        self._files.delete(f"{self.path}/_commits/{version:08d}.json")
+
+    def drop(self, folder: str) -> None:
+        """Remove a data folder that no version names any more."""
+        self._files.delete(f"{self.path}/{folder}")
+
 
 def snapshot(df: DataFrame, cols, n: int, order_by) -> DataFrame:
     """The first n rows in key order, on the named columns (top-k, not a full sort)."""
