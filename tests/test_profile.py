@@ -246,3 +246,22 @@ def test_alerts(spark):
     p = profile.profile_columns(df, ["u", "c", "z"])
     got = {(r["column"], r["alert"]) for r in profile.alerts(p, corr.corr_matrix(df, ["u", "c", "z"]), high=0.8).collect()}
     assert {("u", "unique"), ("c", "constant"), ("z", "zeros"), ("u", "high_correlation")} <= got
+
+
+@pytest.mark.parametrize("by", [None, "g"])
+def test_a_density_on_a_lattice_keeps_its_tolerance(spark, by):
+    rnd = random.Random(6)
+    data = [(rnd.choice("uv"), rnd.gauss(0, 1) if rnd.random() < 0.8 else rnd.expovariate(0.2)) for _ in range(1500)]
+    df = spark.createDataFrame([*data, ("u", None)], "g string, y double")
+
+    def curve(tolerance):
+        return {(r["g"] if by else None, round(r["x"], 9)): r["density"]
+                for r in profile.kde(df, "y", grid=60, by=by, tolerance=tolerance).collect()}
+
+    exact = curve(None)
+    for tolerance in (1e-3, 1e-6):
+        got = curve(tolerance)
+        assert got.keys() == exact.keys()
+        peak = max(exact.values()) * 20  # a kernel's own peak is above that of the curve
+        assert max(abs(got[k] - exact[k]) for k in exact) <= tolerance * peak
+    assert max(abs(curve(1e-6)[k] - exact[k]) for k in exact) < 1e-6

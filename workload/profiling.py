@@ -223,12 +223,12 @@ def kde_by_class(spark, d):
 @query("kde_continuous")
 def kde_continuous(spark, d):
     """The operator's own grid over the continuous measure; kde has a column and a grid that its SQL can check."""
-    return rounded(rounded(profile.kde(lines(spark, d), "l_extendedprice"), 12, ("density",)), 6, ("x",))
+    return rounded(rounded(profile.kde(lines(spark, d), "l_extendedprice", tolerance=1e-7), 12, ("density",)), 6, ("x",))
 
 
 @query("kde_continuous_by_class")
 def kde_continuous_by_class(spark, d):
-    return rounded(rounded(profile.kde(lines(spark, d), "l_extendedprice", by="l_returnflag"), 12, ("density",)), 6, ("x",))
+    return rounded(rounded(profile.kde(lines(spark, d), "l_extendedprice", by="l_returnflag", tolerance=1e-7), 12, ("density",)), 6, ("x",))
 
 
 def _box_sql(long, by=""):
