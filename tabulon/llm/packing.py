@@ -21,9 +21,9 @@ TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 1 << 16
 STEP_WINDOWS = 16
 # Pieces that a worker process remembers at most, some 200 bytes each.
-_REMEMBERED = 3 << 17
+_REMEMBERED = 1 << 18
 # Bytes of text that are told apart together, but for one text, which stays whole.
-_TOGETHER = 8 << 20
+_TOGETHER = 2 << 20
 
 
 class Encoder:
