@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.words import per_batch
+from tabulon.plans.shared import materialise
 
 KINDS = ("assign", "access", "hex")
 # Credentials of a kind, and other long strings, that an automaton is inferred from at most, drawn by hash.
 FIT_STRINGS = 1_500
+# Strings beyond this length are scored like others, but teach no automaton: cut short they would teach a false stop.
+TAUGHT_LENGTH = 256
+# States that an automaton may keep apart; what would be one more joins the state it hangs on, so that a tree of strings
+# without a pattern, each a state for every character, stays small.
+MOST_STATES = 400
 # fixed patterns
 _ASSIGN = re.compile(r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
                      r"[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -44,10 +50,11 @@ class Grammar:
     """A probabilistic automaton merged out of the prefix tree of example strings.
 
     States in the order of the tree either join an earlier state, if their chances of stopping and of each next
-    symbol agree within a Hoeffding bound all the way down, or stay.  Symbols are classes of characters.
+    symbol agree within a Hoeffding bound all the way down, or stay, up to ``most`` of them.  Symbols are classes of
+    characters.
     """
 
-    def __init__(self, examples: list[str], alpha: float = 0.05, most: int = 400):
+    def __init__(self, examples: list[str], alpha: float = 0.05, most: int = MOST_STATES):
         self.next: list[dict[str, int]] = [{}]
         self.stop, self.seen, self.used = Counter(), Counter(), defaultdict(Counter)
         self.alpha = alpha
@@ -163,19 +170,22 @@ def _free(text: str, base) -> list[tuple[int, int]]:
 
 
 def infer(docs: DataFrame, strings: int = FIT_STRINGS) -> Formats:
-    """Automata from the credentials that the fixed patterns label, at most ``strings`` distinct ones a kind."""
+    """Automata from the credentials that the fixed patterns label, at most ``strings`` distinct ones a kind.
+
+    The texts are read once; strings longer than TAUGHT_LENGTH teach nothing.
+    """
 
     def run(kept, texts):
         rows = set()
         for t in texts:
             text = (t or b"").decode("utf-8", "replace")
             base = base_spans(text)
-            rows.update((kind, x[:256]) for _, kind, _, x in base)
-            rows.update(("other", text[s:e][:256]) for s, e in _free(text, base))
+            rows.update((kind, x) for _, kind, _, x in base if len(x) <= TAUGHT_LENGTH)
+            rows.update(("other", text[s:e]) for s, e in _free(text, base) if e - s <= TAUGHT_LENGTH)
         cols = list(zip(*sorted(rows))) or [(), ()]
         return {"kind": pa.array(cols[0], pa.string()), "x": pa.array(cols[1], pa.string())}
 
-    found = per_batch(docs, "text", [], run, "kind string, x string").distinct()
+    found = materialise(per_batch(docs, "text", [], run, "kind string, x string").distinct(), "strings")
     got = defaultdict(list)
     for kind in (*KINDS, "other"):
         rows = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("x"), "x").limit(strings)
