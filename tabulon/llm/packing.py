@@ -21,13 +21,13 @@ TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 1 << 16
 STEP_WINDOWS = 16
 # Pieces that a worker process remembers at most, some 200 bytes each.
-_REMEMBERED = 1 << 18
+REMEMBERED = 3 << 17
 # Bytes of text that are told apart together, but for one text, which stays whole.
-_TOGETHER = 2 << 20
+TOGETHER = 8 << 20
 
 
 class Encoder:
-    """Token ids of texts, by pieces between white space; at most _REMEMBERED pieces are remembered.
+    """Token ids of texts, by pieces between white space; at most ``remembered`` pieces are kept in mind.
 
     The tokenizer's own rules never reach over white space, so its ids of a text are those of the pieces.  Pieces of
     a batch are told apart in Arrow, new ones are tokenised once, and ids are gathered for all texts together.  When
@@ -35,11 +35,11 @@ class Encoder:
     starts anew, so that it follows a change of language.
     """
 
-    def __init__(self, path: str, end: int):
+    def __init__(self, path: str, end: int, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        self.tokenizer, self.end, self.remembered = Tokenizer.from_file(path), end, remembered
         rules = json.loads(self.tokenizer.to_str())["normalizer"] or {}
         # a tokenizer that takes capitals for small letters has one table entry for both
         self.lower = any(r.get("type") == "Lowercase" for r in rules.get("normalizers", [rules]))
@@ -71,7 +71,7 @@ class Encoder:
             new_ids, new_counts = self._coded(missing)
             place[new] = np.arange(len(counts), len(counts) + len(new))
             ids, counts = np.concatenate([ids, new_ids]), np.concatenate([counts, new_counts])
-            if len(self.place) + len(new) <= _REMEMBERED:
+            if len(self.place) + len(new) <= self.remembered:
                 self.place.update(zip(missing, range(len(self.counts), len(counts))))
                 self.ids, self.counts = ids, counts
             else:
@@ -89,9 +89,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(path: str, end: int) -> Encoder:
+def encoder(path: str, end: int, remembered: int) -> Encoder:
     """One encoder for all tasks of a worker process: the file is read once, and pieces stay known."""
-    return Encoder(path, end)
+    return Encoder(path, end, remembered)
 
 
 class Packer:
@@ -172,16 +172,17 @@ class Steps:
         return [(self.step, w) for size in sorted(self.held, reverse=True) for w in self.held[size]]
 
 
-def _parts(batch: pa.RecordBatch):
-    """Consecutive rows with about _TOGETHER bytes of text."""
-    number = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // _TOGETHER
+def _parts(batch: pa.RecordBatch, together: int):
+    """Consecutive rows with about ``together`` bytes of text."""
+    number = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // together
     starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist() if batch.num_rows else []
     for at, end in zip(starts, [*starts[1:], batch.num_rows]):
         yield batch.slice(at, end - at)
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", end: int = 1,
-         tiers: tuple[int, ...] = TIERS, step_windows: int = STEP_WINDOWS) -> DataFrame:
+         tiers: tuple[int, ...] = TIERS, step_windows: int = STEP_WINDOWS, remembered: int = REMEMBERED,
+         together: int = TOGETHER) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset, tier, step): where each piece of a text goes.
 
     ``tokenizer`` is the path of a tokenizer file on every machine; ``end`` closes each document.  ``tiers`` are
@@ -190,6 +191,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
     So windows are full, but for one at most in each task, which is padded to the longest tier.  ``ids`` are
     little-endian 32-bit ids; ``step`` groups 16 x the longest tier of tokens within a task.
 
+    ``remembered`` and ``together`` bound the memory of a worker: pieces whose ids are kept in mind, and bytes of text told
+    apart at once; they change no result.
+
     Each task packs its own rows with a bounded pool, so nothing is shuffled; hand it a stored table, whose rows
     come in the same order when a task runs again.  Null and empty texts are one token, ``end``.  Repeated rows
     are packed each; a null doc_id stays null.  Other columns are not read.
@@ -209,7 +213,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
 
     def packed(batches):
         first = TaskContext.get().partitionId() << 36
-        encode, packer, steps = encoder(tokenizer, end), Packer(tiers), Steps(tiers[-1], step_windows)
+        encode, packer, steps = encoder(tokenizer, end, remembered), Packer(tiers), Steps(tiers[-1], step_windows)
         rows, count = [], 0
 
         def deal(found):
@@ -228,7 +232,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
         for b in batches:
-            for part in _parts(b):
+            for part in _parts(b, together):
                 for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1))):
                     for window in packer.add(doc, ids):
                         deal(steps.add(window))

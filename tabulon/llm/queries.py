@@ -103,9 +103,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, **bounds: int) -> DataFrame:
     """The pieces of ``packing.pack`` with the CRC-32 of their ids in place of the ids."""
-    return packing.pack(docs, tokenizer_path()).select(
+    return packing.pack(docs, tokenizer_path(), **bounds).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier",
         "step")
 
