@@ -46,7 +46,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, in windows of up to 2048 tokens."""
-    return queries.packed(docs)
+    # executors still hold what earlier stages left, so the workers get less memory than packing alone
+    return queries.packed(docs, remembered=1 << 18, together=2 << 20)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_similarity), ("minhash_near_dedup", one_of_each_group),
