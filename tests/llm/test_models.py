@@ -117,6 +117,14 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_toxicity_learns_from_at_most_the_drawn_rows(spark):
+    docs = spark.createDataFrame([(i, f"wort{i}") for i in range(200)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as toxic")
+    assert toxicity._sample(docs, labels, "toxic", 30).count() == 30
+    known = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r.t for r in toxicity._sample(docs, labels, "toxic", 1000).collect()) == sorted(f"wort{i}" for i in known)
+
+
 def brute_spans(text):
     text = text or ""
     key = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
