@@ -254,3 +254,35 @@ def test_search_beats_random_draws_over_seeds():
         best.append([max(r["f1score"] for r in runs) for runs in (seen, drawn)])
         wins += best[-1][0] > best[-1][1]
     assert wins > 12 and np.median([b[0] for b in best]) > np.median([b[1] for b in best])
+
+
+def test_explained_cells_equal_explained_rows():
+    rng = np.random.default_rng(4)
+    columns = np.round(rng.uniform(0, 6, (3, 500)), 1)
+    columns[0, :9] = np.nan
+    tree = boost.Tree(feature=[0, 1, 0, 2, -1, -1, -1, -1, -1], cut=[3.0, 2.0, 4.5, 1.0, 0, 0, 0, 0, 0],
+                      left=[1, 3, 5, 7, -1, -1, -1, -1, -1], right=[2, 4, 6, 8, -1, -1, -1, -1, -1],
+                      value=[0, 0, 0, 0, 0.5, -1.0, 2.0, 0.25, -0.75], gain=[1.0] * 4 + [0.0] * 5,
+                      rows=[100.0, 60.0, 40.0, 25.0, 35.0, 10.0, 30.0, 20.0, 5.0])
+    columns[1, 20:40], columns[2, 40:60], columns[0, 60:80] = 2.0, 1.0, 4.5
+    want = boost.shapley(columns, tree)
+    assert (boost.explainer(tree, 3)(columns) == want).all() and np.abs(want).max() > 0.1
+    for i in range(0, 500, 25):  # a row alone, so that its kinds are its own
+        assert boost.shapley(columns[:, i:i + 1], tree)[:, 0] == pytest.approx(want[:, i])
+
+
+def test_few_bytes_are_grown_within_tasks_and_blocks_add_up(spark, frame, data, monkeypatch):
+    trials = [SPACE_LIKE, {**SPACE_LIKE, "n_estimators": 2, "subsample": 0.6}]
+    want = [margins(m, frame) for m in boost.fit_boosted_many(frame, PLAN, "y", trials)]
+    # in small blocks, but few bytes: still grown within tasks, without a job for each step
+    monkeypatch.setattr(boost, "TASK_ROWS", 100)
+    monkeypatch.setattr(boost, "_grown_by_passes", None)
+    for one, other in zip(boost.fit_boosted_many(frame, PLAN, "y", trials), want):
+        assert margins(one, frame) == pytest.approx(other, abs=1e-9)
+    monkeypatch.undo()
+    # in passes over several tasks of several blocks, where the bytes are too many for one
+    monkeypatch.setattr(boost, "TASK_ROWS", 100)
+    monkeypatch.setattr(boost, "ALONE_BYTES", 0)
+    monkeypatch.setattr(boost, "REBASE", 2)
+    for one, other in zip(boost.fit_boosted_many(frame, PLAN, "y", trials), want):
+        assert margins(one, frame) == pytest.approx(other, abs=1e-9)
