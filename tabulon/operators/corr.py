@@ -122,16 +122,25 @@ def _pairs_of(n):
     return n.cast("double") * (n - 1).cast("double") / 2.0
 
 
+def _fewer_y(cells):
+    """The cells, x and y changed about in the pairs where y has more values than x."""
+    x, y = ({r["pair"]: r["count"] for r in cells.select("pair", side).distinct().groupBy("pair").count().collect()}
+            for side in ("x", "y"))  # one row per column pair
+    turned = F.col("pair").isin([pair for pair, n in x.items() if n < y[pair]])
+    return cells.select("pair", F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"),
+                        F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"), "m")
+
+
 def _kendall(df, cols, bins):
     """tau-b by counting concordant pairs bit by bit.
 
     Two rows with different y-ranks differ first at exactly one bit of the rank.  For each bit
     level, rows that agree above it form a group; inside it every row with the bit set is
     concordant with the rows without it that have a smaller x: a running count, so the work
-    is cells x log2(distinct y), not pairs of cells.
+    is cells x log2(distinct y), not pairs of cells.  y is the side of fewer values; tau is the same either way.
     """
     cells, pairs = _cells(df, cols, bins)
-    longest = _longest(cells)
+    cells, longest = _fewer_y(cells), _longest(cells)
     tx = cells.groupBy("pair", "x").agg(F.sum("m").alias("t"))
     ty = cells.groupBy("pair", "y").agg(F.sum("m").alias("t"), F.lit(1).alias("one"))
     ranks = running(ty, ["y"], by=["pair"], sums={"r": "one"}, longest=longest).select(
