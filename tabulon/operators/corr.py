@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from tabulon.functions.columns import number
 from tabulon.operators.profile import bin_edges, bin_index
 from tabulon.operators.quantiles import cells_of
 from tabulon.plans.ordered import running
-from tabulon.plans.shared import materialise
+from tabulon.plans.shared import BROADCAST_ROWS, materialise
 from tabulon.plans.skew import keyed_left_join
 
 
@@ -70,16 +71,19 @@ def _pearson(df, cols, bins):
     return _named(sums.select("pair", r(F.col("xy"), F.col("xx"), F.col("yy")).alias("r")), pairs)
 
 
+def _numbers(df, cols, bins=None):
+    """The columns as doubles, or as their bins, and their names; columns without a value have no bins and are left out."""
+    if not bins:
+        return df.select(*[number(c).alias(c) for c in cols]), cols
+    edges = bin_edges(df, cols, bins)
+    cols = [c for c in cols if c in edges]
+    return df.select(*[bin_index(number(c), *edges[c]).cast("double").alias(c) for c in cols]), cols
+
+
 def _cells(df, cols, bins=None):
     """(pair, x, y, m): value pairs with their counts, for every column pair."""
+    nums, cols = _numbers(df, cols, bins)
     pairs = list(combinations(cols, 2))
-    if bins:
-        edges = bin_edges(df, cols, bins)
-        cols = [c for c in cols if c in edges]
-        pairs = list(combinations(cols, 2))
-        nums = df.select(*[bin_index(number(c), *edges[c]).cast("double").alias(c) for c in cols])
-    else:
-        nums = df.select(*[number(c).alias(c) for c in cols])
     cells = _value_pairs(nums, pairs).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("m"))
     return materialise(cells), pairs
 
@@ -95,27 +99,84 @@ def _named(result: DataFrame, pairs) -> DataFrame:
     return names.join(F.broadcast(result), "pair", "left").select("x", "y", "r")
 
 
-def _mid_ranks(counts, side, longest):
-    """Centred mid-ranks of the values of one side, from value counts (pair, side, t, n)."""
-    upto = running(counts, [side], by=["pair"], sums={"u": "t"}, longest=longest)
-    return upto.withColumn("rank", F.col("u") - (F.col("t") - 1) / 2.0 - (F.col("n") + 1) / 2.0)
+def _mid_ranks(nums, cols):
+    """(column, v, n0.., r0..) and the number of values of each column.
+
+    ``column`` is a column's number and v a value of it; n_i counts its rows that have the i-th column too, and r_i is
+    the centred mid-rank of v among such rows.
+    """
+    each = [nums.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(
+        *[F.count(other).alias(f"n{i}") for i, other in enumerate(cols)]).withColumn("column", F.lit(at))
+        for at, c in enumerate(cols)]
+    counts = materialise(reduce(DataFrame.unionByName, each), "values")
+    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("values"), *[
+        F.sum(f"n{i}").alias(f"all{i}") for i in range(len(cols))])  # one row per column
+    values = {r["column"]: r["values"] for r in sizes.collect()}
+    upto = running(counts, ["v"], by=["column"], sums={f"u{i}": f"n{i}" for i in range(len(cols))},
+                   longest=max(values.values(), default=0)).join(F.broadcast(sizes), "column")
+    ranks = [(F.col(f"u{i}") - (F.col(f"n{i}") - 1) / 2.0 - (F.col(f"all{i}") + 1) / 2.0).alias(f"r{i}")
+             for i in range(len(cols))]
+    return materialise(upto.select("column", "v", *[f"n{i}" for i in range(len(cols))], *ranks), "ranks"), values
 
 
 def _spearman(df, cols, bins):
-    """Pearson on mid-ranks.  The x-ranks are joined to the cells; then the cells are added up per
-    y, where the y-ranks come from a running count, so one join over the cells is enough."""
-    cells, pairs = _cells(df, cols, bins)
-    longest = _longest(cells)
-    sizes = F.broadcast(cells.groupBy("pair").agg(F.sum("m").alias("n")))  # one row per column pair
-    by_x = _mid_ranks(cells.groupBy("pair", "x").agg(F.sum("m").alias("t")).join(sizes, "pair"), "x", longest)
-    ranked = keyed_left_join(cells, by_x.select("pair", "x", F.col("rank").alias("a")), ["pair", "x"])
-    per_y = ranked.groupBy("pair", "y").agg(F.sum("m").alias("t"), F.sum(F.col("m") * F.col("a")).alias("ma"))
-    by_y = _mid_ranks(per_y.join(sizes, "pair"), "y", longest)
-    xx = by_x.groupBy("pair").agg(F.sum(F.col("t") * F.col("rank") * F.col("rank")).alias("aa"))
-    xy = by_y.groupBy("pair").agg(F.sum(F.col("ma") * F.col("rank")).alias("ab"),
-                                  F.sum(F.col("t") * F.col("rank") * F.col("rank")).alias("bb"))
-    r = F.try_divide(F.col("ab"), F.sqrt(F.col("aa")) * F.sqrt(F.col("bb")))
-    return _named(xx.join(xy, "pair").select("pair", r.alias("r")), pairs)
+    """Pearson on mid-ranks.
+
+    Each column's values are counted and ranked once, for all its partners.  The ranks of a column of few values are
+    looked up for every row; a column of many values adds up its partners' ranks by its own values, so a pair has
+    no value pairs.  Only two columns of many values meet in their value pairs.
+    """
+    nums, cols = _numbers(df, cols, bins)
+    nums, pairs = materialise(nums, "numbers"), list(combinations(cols, 2))
+    ranks, values = _mid_ranks(nums, cols)
+    few = {i for i in range(len(cols)) if values.get(i, 0) * len(cols) <= BROADCAST_ROWS}
+
+    def ranks_of(at, v, named):
+        return ranks.filter(F.col("column") == at).select(F.col("v").alias(v), *[
+            F.col(f"r{i}").alias(name) for i, name in named.items()])
+
+    rows = nums.select(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    for i in sorted(few):
+        others = {j: f"r{i}_{j}" for j in range(len(cols)) if j != i}
+        rows = rows.join(F.broadcast(ranks_of(i, f"v{i}", others)), f"v{i}", "left")  # few, as counted
+    number_of = {(cols.index(a), cols.index(b)): n for n, (a, b) in enumerate(pairs)}
+    found = []
+    both = [ij for ij in number_of if few.issuperset(ij)]
+    if both:
+        products = F.array(*[F.struct(F.lit(number_of[i, j]).alias("pair"), (
+            F.col(f"r{i}_{j}") * F.col(f"r{j}_{i}")).alias("ab")) for i, j in both])
+        found.append(rows.select(F.inline(products)).groupBy("pair").agg(F.sum("ab").alias("ab")))
+    for i in sorted(set(range(len(cols))) - few):
+        partners = sorted(few)
+        if partners:
+            sums = rows.filter(F.col(f"v{i}").isNotNull()).groupBy(f"v{i}").agg(*[
+                F.sum(f"r{j}_{i}").alias(f"s{j}") for j in partners])
+            own = sums.join(ranks_of(i, f"v{i}", {j: f"r{j}" for j in partners}), f"v{i}")
+            products = F.array(*[F.struct(F.lit(number_of[min(i, j), max(i, j)]).alias("pair"), (
+                F.col(f"s{j}") * F.col(f"r{j}")).alias("ab")) for j in partners])
+            found.append(own.select(F.inline(products)).groupBy("pair").agg(F.sum("ab").alias("ab")))
+    many = [ij for ij in number_of if not few.intersection(ij)]
+    if many:
+        cells = materialise(_value_pairs(nums, [(cols[i], cols[j]) for i, j in many]).groupBy("pair", "x", "y").agg(
+            F.count(F.lit(1)).alias("m")))
+        x, y = (reduce(DataFrame.unionByName, [
+            ranks_of(ij[side], name, {ij[1 - side]: f"r{name}"}).withColumn("pair", F.lit(at))
+            for at, ij in enumerate(many)]) for side, name in enumerate("xy"))
+        per_y = keyed_left_join(cells, x, ["pair", "x"]).groupBy("pair", "y").agg(
+            F.sum(F.col("m") * F.col("rx")).alias("s"))
+        own = F.element_at(F.array(*[F.lit(number_of[ij]) for ij in many]), F.col("pair") + 1)
+        found.append(per_y.join(y, ["pair", "y"]).groupBy(own.alias("pair")).agg(
+            F.sum(F.col("s") * F.col("ry")).alias("ab")))
+    if not found:
+        return _named(nums.sparkSession.createDataFrame([], "pair int, r double"), pairs)
+    squares = {r["column"]: r for r in ranks.groupBy("column").agg(*[
+        F.sum(F.col(f"n{i}") * F.col(f"r{i}") * F.col(f"r{i}")).alias(f"q{i}")
+        for i in range(len(cols))]).collect()}  # one row per column
+    norms = nums.sparkSession.createDataFrame(
+        [(n, squares[i][f"q{j}"], squares[j][f"q{i}"]) for (i, j), n in number_of.items() if i in squares and j in squares],
+        "pair int, aa double, bb double")
+    r = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
+    return _named(reduce(DataFrame.unionByName, found).join(F.broadcast(norms), "pair").select("pair", r.alias("r")), pairs)
 
 
 def _pairs_of(n):

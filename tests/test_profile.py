@@ -155,6 +155,24 @@ def test_correlations(df, pdf, method, big, monkeypatch):
             assert v == pytest.approx(both[a].rank().corr(both[b].rank()))
 
 
+@pytest.mark.parametrize("cells_looked_up", [0, 40, 10 ** 6])
+def test_spearman_of_few_and_many_values(spark, cells_looked_up, monkeypatch):
+    met = []
+    value_pairs = corr._value_pairs
+    monkeypatch.setattr(corr, "_value_pairs", lambda nums, pairs: met.extend(pairs) or value_pairs(nums, pairs))
+    monkeypatch.setattr(corr, "BROADCAST_ROWS", cells_looked_up)
+    rows = [(i % 7 if i % 5 else None, i * i % 97, i * 31 % 89 if i % 11 else None, i % 3, None) for i in range(300)]
+    data = spark.createDataFrame(rows, "few int, many int, more int, least int, none int")
+    got = {(r["x"], r["y"]): r["r"] for r in corr.corr_matrix(data, data.columns, "spearman", lower=True).collect()}
+    pdf = pd.DataFrame(rows, columns=data.columns, dtype=float)
+    for (a, b), v in got.items():
+        both = pdf[[a, b]].dropna()
+        assert len(got) == 10 and (v is None if "none" in (a, b) else v == pytest.approx(both[a].rank().corr(both[b].rank())))
+    # a column of few values does not meet others in value pairs
+    few = {0: {"none"}, 40: {"few", "least", "none"}, 10 ** 6: set(data.columns)}[cells_looked_up]
+    assert not any(few.intersection(pair) for pair in met) and (met or cells_looked_up == 10 ** 6)
+
+
 def _tau_b(x, y):
     dx, dy = np.sign(x[:, None] - x), np.sign(y[:, None] - y)
     return (dx * dy).sum() / math.sqrt((dx != 0).sum() * (dy != 0).sum())
