@@ -124,6 +124,20 @@ def test_the_seed_draws_rows_and_columns(frame):
         margins(a, frame), abs=1e-9)
 
 
+def test_rows_of_the_same_bins_are_one_cell():
+    rnd = np.random.default_rng(4)
+    bins, y = rnd.integers(0, 3, (2, 5000)).astype(np.uint8), rnd.integers(0, 2, 5000).astype(np.int8)
+    key, fold = rnd.integers(0, 1 << 63, 5000).astype(np.uint64), rnd.integers(0, 3, 5000).astype(np.int32)
+    block = boost._cells((bins, y, key, fold))
+    assert block[0].shape == (2, 9) and len(block[1]) == 9
+    params = {0: boost.BoostParams(subsample=0.6, random_state=5), 1: boost.BoostParams()}
+    cells, _, counts, ones = boost._drawn(params, 2, [None, 1])((*block, np.zeros((2, 9))))
+    for i, keep in enumerate([boost._in_bag(key, params[0], 2), fold != 1]):
+        for cell, n, s in zip(cells.T, counts[i], ones[i]):
+            rows = keep & (bins == cell[:, None]).all(axis=0)
+            assert (n, s) == (rows.sum(), y[rows].sum())
+
+
 def test_shared_passes_equal_separate_fits(frame, monkeypatch):
     trials = [SPACE_LIKE, {**SPACE_LIKE, "num_leaves": 4, "max_bin": 6, "n_estimators": 7}, {**SPACE_LIKE, "subsample": 0.7}]
     together = [margins(m, frame) for m in boost.fit_boosted_many(frame, PLAN, "y", trials)]
