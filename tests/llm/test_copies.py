@@ -131,3 +131,17 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(70, 60), (60, 60)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(51)}, 60: 60, 70: 60}
+
+
+def test_later_lines_have_one_near_candidate_each(spark, monkeypatch):
+    from tabulon.llm import line_dedup
+
+    stored = {}
+    keep = line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df, label: stored.setdefault(label, keep(df, label)))
+    sets = [{f"w{i % 3}_{j}" for j in range(20) if j != i % 7} | {f"x{i}"} for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(sorted(s))) for i, s in enumerate(sets)], "doc_id long, text string")
+    got = {r["doc_id"] for r in line_dedup.later_lines(docs).collect()}
+    assert got == {i for i, s in enumerate(sets) if any(100 * len(s & t) >= 80 * len(s | t) for t in sets[:i])}
+    near = stored["near"]
+    assert near.count() == near.select("b_doc", "b_line").distinct().count() > 10
