@@ -11,7 +11,7 @@ from tabulon.plans.shared import broadcast_if_small, materialise
 
 # Word counts are kept by hash in a table of this size, whatever the corpus; it only sets the order of words.
 COUNTS = 1 << 20
-# Document ids sent to every executor at most, 8 bytes each; beyond that the texts are shuffled instead.
+# Lines, or document ids, sent to every executor at most, some 70 bytes each; beyond that the texts are shuffled instead.
 IDS_BROADCAST = 1_000_000
 # More than any place of a rare word in a line; with it the bounds are still within 32 bits.
 _FAR = 1 << 22
@@ -30,7 +30,9 @@ def _words(line: Column) -> Column:
 def _rarity(docs: DataFrame) -> Column:
     """An array of COUNTS levels, the logarithm of how often the corpus holds words of that hash, in the highest byte."""
     spark = docs.sparkSession
-    counts = (_lines(docs).select(F.explode(_words(F.col("content"))).alias("word"))
+    # words between other blanks than spaces and line feeds are counted as one: it only places them otherwise
+    pieces = F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")
+    counts = (docs.select(F.explode(pieces).alias("word")).filter("word <> ''")
               .groupBy(F.expr(f"int(xxhash64(word) & {COUNTS - 1})").alias("at")).agg(F.count("*").alias("n")))
     every = spark.range(COUNTS).select(F.col("id").cast("int").alias("at")).join(counts, "at", "left").select(
         "at", F.expr("int(4 * log2(1 + coalesce(n, 0)))").alias("level"))
@@ -55,8 +57,10 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
     rows = _lines(docs).filter(F.col("content").rlike("[^\\t-\\r ]")).select(
         "doc_id", "line", F.transform(_words(F.col("content")), lambda w: F.xxhash64(w)).alias("w"))
     rows = rows.withColumn("levels", _rarity(docs))
-    key = F.array_distinct(F.transform("w", lambda h: F.get(
-        F.col("levels"), h.bitwiseAND(F.lit(COUNTS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    # no level is missing: an array that cannot hold null is sorted as numbers, not as objects
+    key = F.array_distinct(F.transform("w", lambda h: F.coalesce(F.get(
+        F.col("levels"), h.bitwiseAND(F.lit(COUNTS - 1)).cast("int")), F.lit(0).cast("long")).bitwiseOR(
+        F.shiftrightunsigned(h, 8))))
     rows = rows.select("doc_id", "line", F.sort_array(key).alias("keys")).withColumn("n", F.size("keys"))
     flip = "aggregate(keys, 0L, (x, k) -> x ^ shiftleft(1L, cast({} & 63 as int)))"
     return rows.select(
@@ -77,21 +81,31 @@ def _possible(left: str, right: str, percent: int) -> Column:
             + if(({left}n > 96) = ({right}n > 96), 0, 1000000)""")
 
 
+def _by_document(lines: DataFrame, name: str) -> DataFrame:
+    """One row per doc_id of a stored (doc_id, line), its lines in an array; broadcast if there are few lines in all."""
+    found = lines.groupBy("doc_id").agg(F.collect_list("line").alias(name))
+    return F.broadcast(found) if lines.limit(IDS_BROADCAST + 1).count() <= IDS_BROADCAST else found
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Distinct (b_doc, b_line) of the pairs whose word sets, compared as strings, agree in percent of the union."""
     ends = materialise(pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line"))
                        .union(pairs.select("b_doc", "b_line")).distinct(), "ends")
-    ids = materialise(ends.select("doc_id").distinct(), "ids")
-    rows = _lines(docs.join(broadcast_if_small(ids, IDS_BROADCAST), "doc_id", "left_semi")).join(
-        ends, ["doc_id", "line"])
+    # texts meet the numbers of their lines, and only these lines leave the task
+    rows = docs.join(_by_document(ends, "at"), "doc_id").select("doc_id", F.inline(F.get(F.transform(
+        F.array(F.split("text", "\n")), lambda lines: F.transform("at", lambda i: F.struct(
+            i.alias("line"), F.get(lines, i).alias("content")))), F.lit(0))))
     # lines travel as they are, as their words take several times the room
-    sets = materialise(rows.select("doc_id", "line", "content").dropDuplicates(["doc_id", "line"]), "sets")
+    sets = materialise(rows.filter("content is not null").dropDuplicates(["doc_id", "line"]), "sets")
     for p in "ab":
         pairs = pairs.join(sets.select(F.col("doc_id").alias(f"{p}_doc"), F.col("line").alias(f"{p}_line"),
                                        F.col("content").alias(f"{p}_t")), [f"{p}_doc", f"{p}_line"])
-    pairs = pairs.select("b_doc", "b_line", *[F.array_distinct(_words(F.col(f"{p}_t"))).alias(f"{p}_w") for p in "ab"])
-    pairs = pairs.withColumn("both", F.size(F.array_intersect("a_w", "b_w")))
-    return pairs.filter(f"100 * both >= {percent} * (size(a_w) + size(b_w) - both)").select("b_doc", "b_line").distinct()
+    # inside the array each line is split once, as columns the three counts would split it again
+    words = F.array(F.struct(*[F.array_distinct(_words(F.col(f"{p}_t"))).alias(p) for p in "ab"]))
+    sizes = F.transform(words, lambda w: F.struct(F.size(w["a"]).alias("a"), F.size(w["b"]).alias("b"), F.size(
+        F.array_intersect(w["a"], w["b"])).alias("both")))
+    pairs = pairs.select("b_doc", "b_line", F.inline(sizes))
+    return pairs.filter(f"100 * both >= {percent} * (a + b - both)").select("b_doc", "b_line").distinct()
 
 
 def _near(under: DataFrame, percent: int) -> DataFrame:
@@ -101,14 +115,16 @@ def _near(under: DataFrame, percent: int) -> DataFrame:
     """
     order = W.partitionBy("word").orderBy("doc_id", "line")
     line = F.struct("copies", *_FACTS)
-    rows = under.select(*[F.col(c).alias(f"b_{c}") for c in _FACTS], F.array_distinct(F.array_compact(F.array(
-        F.when(F.row_number().over(order) > 1, F.first(line).over(order)), F.lag(line).over(order),
-        F.max(line).over(order.rowsBetween(W.unboundedPreceding, -1))))).alias("others"))
-    rows = rows.select("*", F.inline("others")).drop("others", "copies")
-    rows = rows.select(*[f"b_{c}" for c in _FACTS], *[F.col(c).alias(f"a_{c}") for c in _FACTS])
-    apart = F.expr("bit_count(a_bits ^ b_bits) + bit_count(a_more ^ b_more)")
-    found = rows.filter(_possible("a_", "b_", percent)).withColumn("apart", apart).selectExpr(*_ENDS, "apart")
-    return found.groupBy("b_doc", "b_line").agg(F.min(F.struct("apart", "a_doc", "a_line")).alias("a")).select(
+    rows = under.select(*[F.col(c).alias(f"b_{c}") for c in _FACTS], F.row_number().over(order).alias("place"),
+                        F.first(line).over(order).alias("x"), F.lag(line).over(order).alias("y"),
+                        F.max(line).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("z")).filter("place > 1")
+    best = F.least(*[F.when(_possible(f"{c}.", "b_", percent), F.expr(
+        f"struct(bit_count({c}.bits ^ b_bits) + bit_count({c}.more ^ b_more) apart, {c}.doc_id a_doc, {c}.line a_line)"))
+        for c in "xyz"])
+    # a filter on the column itself would compute it twice
+    found = rows.select(F.col("b_doc_id").alias("b_doc"), "b_line", F.explode(F.array(best)).alias("a")).filter(
+        "a is not null")
+    return found.groupBy("b_doc", "b_line").agg(F.min("a").alias("a")).select(
         "a.a_doc", "a.a_line", "b_doc", "b_line")
 
 
@@ -161,8 +177,7 @@ def drop_later_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     """
     names = docs.columns
     own, cut = free_name("later_id", names), free_name("later_lines", names)
-    gone = materialise(later_lines(docs, id_col, text, percent), "gone").groupBy("doc_id").agg(
-        F.collect_list("line").alias(cut)).withColumnRenamed("doc_id", own)
+    gone = _by_document(materialise(later_lines(docs, id_col, text, percent), "gone"), cut).withColumnRenamed("doc_id", own)
     rows = docs.join(gone, docs[f"`{id_col}`"] == F.col(own), "left")
     lines = F.split(F.col(f"`{text}`"), "\n")
     kept = F.when(F.col(own).isNull(), F.col(f"`{text}`")).otherwise(

@@ -1,6 +1,8 @@
 """The order, skew and sharing helpers, against plain Python on data with one very hot group."""
 
+import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -96,3 +98,19 @@ def test_settle_keeps_large_frames_distributed(spark):
 def test_materialise_goes_to_the_shared_folder(spark):
     df = materialise(spark.range(10).toDF("id"))
     assert checkpoint_root(spark).rstrip("/").split("/")[-1] in df.inputFiles()[0]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for folder in folders for f in glob.glob(f"{folder.getPath()}/*/shuffle_*.data")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    stored = materialise(spark.range(1000).repartition(3, "id").groupBy(F.expr("id % 7").alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert stored.count() == 7 and spark.conf.get(name) == setting
