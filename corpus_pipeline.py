@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tabulon.llm import decontaminate, line_dedup, near_dedup, queries, rules
 from tabulon.llm.words import free_name
-from tabulon.plans.shared import materialise
+from tabulon.plans.shared import broadcast_if_small, materialise
+
+# Ids of dropped documents sent to every executor at most; beyond that the texts are shuffled instead.
+IDS_BROADCAST = 1_000_000
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +20,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The documents whose doc_id is not in ``gone``; rows without a doc_id stay, rows that share one go together."""
     own = free_name("gone_id", docs.columns)
-    return docs.join(gone.select(F.col("doc_id").alias(own)).distinct(), docs.doc_id == F.col(own), "left_anti")
+    ids = materialise(gone.select(F.col("doc_id").alias(own)).distinct(), "gone_ids")
+    return docs.join(broadcast_if_small(ids, IDS_BROADCAST), docs.doc_id == F.col(own), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

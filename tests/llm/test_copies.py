@@ -145,3 +145,28 @@ def test_later_lines_have_one_near_candidate_each(spark, monkeypatch):
     assert got == {i for i, s in enumerate(sets) if any(100 * len(s & t) >= 80 * len(s | t) for t in sets[:i])}
     near = stored["near"]
     assert near.count() == near.select("b_doc", "b_line").distinct().count() > 10
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_texts_stay_where_they_are_for_few_lines(spark, monkeypatch, limit):
+    import corpus_pipeline
+    from tabulon.llm import line_dedup
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(line_dedup, "IDS_BROADCAST", limit)
+    monkeypatch.setattr(corpus_pipeline, "IDS_BROADCAST", limit)
+    long = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"a b c\n{long}"), (2, f"x y\n{long} z\nc b a\n"), (2, f"x y\n{long} z\nc b a\n"),
+                                  (3, None), (None, "a b c")], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = line_dedup.drop_later_lines(docs)
+        left = corpus_pipeline._without(docs, docs.filter("doc_id = 2"))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (cut, left)]
+        got = sorted((r.doc_id or 0, r.text, r.n_removed) for r in cut.filter("text is not null").collect())
+        stay = [r.doc_id for r in left.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == [(0, "a b c", 0), (1, f"a b c\n{long}", 0), (2, "x y\n", 2), (2, "x y\n", 2)]
+    assert sorted(stay, key=str) == [1, 3, None]
+    assert ["SortMergeJoin" in p for p in plans] == [not limit] * 2
