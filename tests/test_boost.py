@@ -300,3 +300,39 @@ def test_few_bytes_are_grown_within_tasks_and_blocks_add_up(spark, frame, data,
     monkeypatch.setattr(boost, "REBASE", 2)
     for one, other in zip(boost.fit_boosted_many(frame, PLAN, "y", trials), want):
         assert margins(one, frame) == pytest.approx(other, abs=1e-9)
+
+
+@pytest.mark.parametrize("joint", [1, 1 << 13])
+def test_many_rows_of_few_cells_are_grown_within_tasks(frame, monkeypatch, joint):
+    plan = Prep(["a", "b"], remainder="pass", scale=False)
+    trials = [SPACE_LIKE, {**SPACE_LIKE, "n_estimators": 7, "subsample": 0.6, "colsample_bytree": 0.5}]
+    want = [margins(m, frame) for m in boost.fit_boosted_many(frame, plan, "y", trials)]
+    # rows in tasks by their bins, at most 84 cells of 23 bytes; counts of two rounds at once
+    monkeypatch.setattr(boost, "TASK_ROWS", 100)
+    monkeypatch.setattr(boost, "ALONE_BYTES", 84 * 23)
+    monkeypatch.setattr(boost, "DRAWN_BYTES", 2 * 2 * 84)
+    monkeypatch.setattr(boost, "JOINT", joint)
+    monkeypatch.setattr(boost, "_grown_by_passes", None)
+    for one, other in zip(boost.fit_boosted_many(frame, plan, "y", trials), want):
+        assert margins(one, frame) == pytest.approx(other, abs=1e-9)
+
+
+def test_rows_of_the_same_bins_go_to_the_same_task_unless_they_are_too_many():
+    rng = np.random.default_rng(5)
+    bins, key = rng.integers(0, 9, (3, 4000)).astype(np.uint8), rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    bins[:, :2000] = 4
+    place = boost._places(bins, key, 4)
+    assert np.bincount(place, minlength=4).min() > 700
+    rare = np.flatnonzero((bins != 4).any(axis=0))
+    assert len({(*c, p) for *c, p in zip(*bins[:, rare], place[rare])}) == len({tuple(c) for c in bins[:, rare].T})
+
+
+def test_counts_of_a_round_are_those_that_passes_draw():
+    rng = np.random.default_rng(6)
+    bins, y = rng.integers(0, 3, (2, 3000)).astype(np.uint8), rng.integers(0, 2, 3000).astype(np.int8)
+    key, fold = rng.integers(0, 1 << 63, 3000).astype(np.uint64), rng.integers(0, 3, 3000).astype(np.int32)
+    block = boost._cells((bins, y, key, fold))
+    for p, without in ((boost.BoostParams(subsample=0.6, random_state=5), None), (boost.BoostParams(), 1)):
+        *_, counts, ones = boost._drawn({0: p}, 2, [without])((*block, np.zeros((1, 9))))
+        got = boost._counted(block, p, 2, without)
+        assert (got[0] == counts[0]).all() and (got[1] == ones[0]).all()
