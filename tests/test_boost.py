@@ -336,3 +336,45 @@ def test_counts_of_a_round_are_those_that_passes_draw():
         *_, counts, ones = boost._drawn({0: p}, 2, [without])((*block, np.zeros((1, 9))))
         got = boost._counted(block, p, 2, without)
         assert (got[0] == counts[0]).all() and (got[1] == ones[0]).all()
+
+
+def _a_tree(rng, n, leaves):
+    """A tree of random cuts, values and rows."""
+    tree, open_ = boost.Tree(), [0]
+    tree.add(0.0, 1000.0)
+    while len(open_) < leaves:
+        node = open_.pop(int(rng.integers(len(open_))))
+        tree.feature[node], tree.cut[node], tree.gain[node] = int(rng.integers(n)), round(float(rng.uniform(0, 6)), 1), 1.0
+        left = tree.rows[node] * rng.uniform(0.2, 0.8)
+        tree.left[node], tree.right[node] = tree.add(float(rng.normal()), left), tree.add(float(rng.normal()), tree.rows[node] - left)
+        open_ += [tree.left[node], tree.right[node]]
+    return tree
+
+
+@pytest.mark.parametrize("n,leaves", [(4, 90), (2, 12), (1, 40), (5, 3)])
+def test_cells_between_cuts_are_told_as_rows(n, leaves):
+    rng = np.random.default_rng(n)
+    trees = [_a_tree(rng, n, leaves) for _ in range(3)]
+    columns = np.round(rng.uniform(-1, 7, (n, 3000)), 1)
+    columns[0, :9] = np.nan
+    want = np.full(3000, 0.3)
+    for t in trees:
+        want += np.array(t.value).take(boost.walk(columns, t.arrays()))
+    assert (boost._leaf_values(trees, n)(columns, 0.3) == want).all()
+    finer = boost._cuts(trees, n)
+    for t in trees:
+        told = boost.shapley(columns, t)
+        assert boost.explainer(t, n)(columns) == pytest.approx(told, abs=1e-12)
+        assert boost.explainer(t, n, 3000)(columns, boost._coded(columns, finer), finer) == pytest.approx(told, abs=1e-12)
+
+
+def test_trees_of_too_many_cells_are_walked_and_told_by_rows(monkeypatch):
+    rng = np.random.default_rng(9)
+    trees, columns = [_a_tree(rng, 3, 30) for _ in range(3)], np.round(rng.uniform(-1, 7, (3, 500)), 1)
+    few, told = boost._leaf_values(trees, 3)(columns, 0.0), boost.explainer(trees[0], 3)(columns)
+    monkeypatch.setattr(boost, "walk", lambda *a, real=boost.walk: walked.append(1) or real(*a))
+    walked = []
+    monkeypatch.setattr(boost, "LEAF_CELLS", math.prod(len(c) + 1 for c in boost._cuts(trees[:1], 3)))
+    assert (boost._leaf_values(trees, 3)(columns, 0.0) == few).all() and len(walked) == 2
+    monkeypatch.setattr(boost, "CELLS", 1)
+    assert boost.explainer(trees[0], 3)(columns) == pytest.approx(told, abs=1e-12)
